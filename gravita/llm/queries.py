@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, language
+from . import bpe, exact, language, tokenio
 from .common import table
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenio.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(spark, table(spark, sf_dir, "documents"))
 
@@ -18,8 +27,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_language_id, op7_exact_dedup)
+    f.__name__: f for f in (op3_token_output, op6_language_id, op7_exact_dedup, op9_bpe)
 }
 
 SQL: dict[str, str] = {
