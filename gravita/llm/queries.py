@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, language, tokenio
+from . import bpe, exact, language, substrings, tokenio
 from .common import table
 
 
@@ -31,8 +31,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_output, op6_language_id, op7_exact_dedup, op9_bpe)
+    f.__name__: f for f in (op3_token_output, op6_language_id, op7_exact_dedup, op9_bpe, op10_suffix_dedup)
 }
 
 SQL: dict[str, str] = {
