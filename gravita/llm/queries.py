@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, language, substrings, tokenio
+from . import bpe, exact, language, nearjoin, substrings, tokenio
 from .common import table
 
 
@@ -15,6 +15,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
 
@@ -36,7 +40,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_output, op6_language_id, op7_exact_dedup, op9_bpe, op10_suffix_dedup)
+    f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op6_language_id, op7_exact_dedup, op9_bpe, op10_suffix_dedup)
 }
 
 SQL: dict[str, str] = {
