@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, language, nearjoin, substrings, tokenio
+from . import bpe, exact, language, nearjoin, packing, substrings, tokenio
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(spark, table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op6_language_id, op7_exact_dedup, op9_bpe, op10_suffix_dedup)
+    f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op5_bm25_packing, op6_language_id, op7_exact_dedup, op9_bpe, op10_suffix_dedup)
 }
 
 SQL: dict[str, str] = {
