@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, language, nearjoin, packing, substrings, tokenio
+from . import bpe, exact, language, nearjoin, packing, quality, substrings, tokenio, toxicity
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary())
 
@@ -35,6 +39,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary())
 
@@ -44,7 +52,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op5_bm25_packing, op6_language_id, op7_exact_dedup, op9_bpe, op10_suffix_dedup)
+    f.__name__: f
+    for f in (
+        op2_minhash_near_dedup,
+        op3_token_output,
+        op4_crf_toxicity,
+        op5_bm25_packing,
+        op6_language_id,
+        op7_exact_dedup,
+        op8_fm_quality,
+        op9_bpe,
+        op10_suffix_dedup,
+    )
 }
 
 SQL: dict[str, str] = {
