@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, language, nearjoin, packing, quality, substrings, tokenio, toxicity
+from . import bpe, exact, language, nearjoin, neighbours, packing, quality, substrings, tokenio, toxicity
 from .common import table
 
 
@@ -15,6 +15,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_projected_neighbours,
         op2_minhash_near_dedup,
         op3_token_output,
         op4_crf_toxicity,
