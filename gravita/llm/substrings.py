@@ -231,10 +231,10 @@ def _settle(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def _split_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _split_copies(docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     """(rows to search, rows of heavy groups): of each heavy group one row is in both."""
     rows = docs.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text")
+        *more, "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     heavy = heavy_digests(rows.select("digest"))
     winners = (
@@ -326,3 +326,32 @@ def removed_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
         F.when(whole, F.sha2(F.lit(b""), 256)).otherwise(F.lower(F.hex("digest"))).alias("kept_sha256"),
     )
     return single.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_digest, RESULT).unionByName(hot)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    """``docs`` with all columns, ``text`` without its repeated windows and ``n_chars``, if there, of what
+    is left. A character that is cut inside goes wholly; a document may be left empty. Null texts that
+    lose nothing stay null."""
+    spans = repeated_spans(spark, docs, length, gram, crowd)
+    schema = docs.schema
+    at, counted = schema.names.index("text"), schema.names.index("n_chars") if "n_chars" in schema.names else None
+
+    def run(batches):
+        for b in batches:
+            held = b.column("row").flatten()
+            whole = b.column("whole").to_pylist()
+            kept = [
+                t if t is None or not (w or s) else "" if w else _without(t, merged(s)).decode("utf-8", "ignore")
+                for t, s, w in zip(held[at].to_pylist(), b.column("spans").to_pylist(), whole, strict=True)
+            ]
+            if counted is not None:
+                n = [len(k) if k is not None and (w or s) else c for k, c, s, w in zip(kept, held[counted].to_pylist(), b.column("spans").to_pylist(), whole, strict=True)]
+                held[counted] = pa.array(n, held[counted].type)
+            held[at] = pa.array(kept, held[at].type)
+            yield pa.RecordBatch.from_arrays(held, names=schema.names)
+
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    search, copies = _split_copies(rows, "row")
+    single = search.filter("winner IS NULL").select("row", *_KEY).join(spans, _KEY, "left").select("row", "spans", F.lit(False).alias("whole"))
+    hot = copies.select("row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), (F.octet_length("text") >= length).alias("whole"))
+    return single.unionByName(hot).mapInArrow(run, schema)
