@@ -41,7 +41,6 @@ def _rings(value) -> list[np.ndarray]:
     return [np.array([list(p) for p in ring], float).reshape(-1, 2) for ring in value]
 
 
-@F.pandas_udf("struct<lon:double,lat:double>")
 def _inner(values: pd.Series) -> pd.DataFrame:
     found = [inner_point(_rings(v)) if v is not None and len(v) else (None, None) for v in values]
     return pd.DataFrame(found, columns=["lon", "lat"], dtype=float)
@@ -49,7 +48,7 @@ def _inner(values: pd.Series) -> pd.DataFrame:
 
 def interior_point(rings: str) -> Column:
     """lon and lat of a point inside a polygon; null without one."""
-    return _inner(F.col(rings))
+    return F.pandas_udf(_inner, "struct<lon:double,lat:double>")(F.col(rings))
 
 
 def authalic_area(ring: np.ndarray) -> float:
@@ -62,7 +61,6 @@ def authalic_area(ring: np.ndarray) -> float:
     return float(abs((np.diff(lon) * (beta[:-1] + beta[1:])).sum() / 2) * _A * _A * q(1.0) / 2)
 
 
-@F.pandas_udf("double")
 def _area(values: pd.Series) -> pd.Series:
     """The outer rings' area less the holes', told apart by their turn."""
     def one(v):
@@ -74,7 +72,7 @@ def _area(values: pd.Series) -> pd.Series:
 
 
 def spheroid_area(rings: str) -> Column:
-    return _area(F.col(rings))
+    return F.pandas_udf(_area, "double")(F.col(rings))
 
 
 def thinned(p: np.ndarray, tolerance: float) -> np.ndarray:

@@ -25,29 +25,30 @@ def _placed(points: DataFrame, scale: DataFrame, key: str, lon: str, lat: str) -
 
 
 def nearest_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, scale: DataFrame, cell: float = 0.05, levels: int = 7, lon: str = "lon", lat: str = "lat"
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, scale: DataFrame, cell: float = 0.05, levels: int = 4, lon: str = "lon", lat: str = "lat"
 ) -> DataFrame:
     """(left_key, right_key): the nearest right point of every left point, ties to the smaller key. At the
-    last level cells are so wide that a map has few of them."""
+    last level cells are wider than a map, and what it finds counts. Each level is kept, as the next
+    level and the result both read it."""
     todo = _placed(left, scale, left_key, lon, lat)
     there = _placed(right, scale, right_key, lon, lat).select(F.col(right_key), F.col("x").alias("rx"), F.col("y").alias("ry"))
     out = None
     for level in range(levels):
-        size = cell * 2.0 ** (2 * level)
+        size, last = cell * 8.0**level, level == levels - 1
         column = lambda c: F.floor(F.col(c) / size)
-        last = level == levels - 1
         around = F.explode(F.array(*(F.lit(i).cast("long") for i in (-1, 0, 1))))
         asked = todo.withColumn("dx", around).withColumn("dy", around)
         asked = asked.withColumn("cx", column("x") + F.col("dx")).withColumn("cy", column("y") + F.col("dy"))
         held = there.withColumn("cx", column("rx")).withColumn("cy", column("ry"))
         d2 = (F.col("x") - F.col("rx")) ** 2 + (F.col("y") - F.col("ry")) ** 2
-        met = asked.join(held, ["cx", "cy"]).select(left_key, "x", "y", right_key, d2.alias("d2"))
-        best = met.groupBy(left_key, "x", "y").agg(F.min(F.struct("d2", right_key)).alias("best"))
+        near = F.when(F.col(right_key).isNotNull(), F.struct(d2.alias("d2"), F.col(right_key)))
+        best = asked.join(held, ["cx", "cy"], "left").groupBy(left_key, "x", "y").agg(F.min(near).alias("best"))
         border = F.least(*(F.col(c) - (column(c) - 1) * size for c in ("x", "y")), *((column(c) + 2) * size - F.col(c) for c in ("x", "y")))
-        sure = best if last else best.filter(F.sqrt("best.d2") <= border)
-        found = sure.select(left_key, F.col(f"best.{right_key}").alias(right_key))
+        sure = F.col("best").isNotNull() & (F.lit(last) | (F.sqrt("best.d2") <= border))
+        seen = best.withColumn("sure", sure).persist()
+        found = seen.filter("sure").select(left_key, F.col(f"best.{right_key}").alias(right_key))
         out = found if out is None else out.unionByName(found)
-        todo = todo.join(found, left_key, "left_anti")
+        todo = seen.filter("NOT sure").select(left_key, "x", "y")
     return out
 
 

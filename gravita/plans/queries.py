@@ -94,7 +94,7 @@ def footprint_filter(spark, sf_dir):
 
 def _headers(spark, sf_dir):
     little = lambda x, n: "unhex(concat(" + ", ".join(f"lpad(hex(shiftright({x}, {8 * i}) & 255), 2, '0')" for i in range(n)) + "))"
-    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS name", f"concat(unhex('53425349'), unhex('01000000'), {little('o_orderkey * 7', 4)}) AS content")
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS name", f"concat(unhex('53424249'), unhex('01000000'), {little('o_orderkey * 7', 4)}) AS content")
 
 
 @query("SELECT o_orderkey AS name, o_orderkey * 7 AS count FROM orders")
@@ -473,7 +473,7 @@ _BALANCED = _graph_sql(10) + "".join(_ROUND.format(i=i, before="edges" if i == 0
 
 
 def _balanced(spark, sf_dir):
-    edges = _graph(spark, sf_dir, 10)
+    edges = _graph(spark, sf_dir, 10).persist()
     targets = lambda c, n: edges.select(c).distinct().withColumn("target", (F.col(c) + n).cast("double"))
     return gravity.balance_rounds(edges, targets("o", 1000), targets("d", 3000), 3), targets("o", 1000)
 
