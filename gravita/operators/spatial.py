@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .tables import only_row, zero_filled
+from .tables import kept, only_row, zero_filled
 
 
 def longitude_scale(points: DataFrame, lat: str = "lat") -> DataFrame:
@@ -45,7 +45,7 @@ def nearest_join(
         best = asked.join(held, ["cx", "cy"], "left").groupBy(left_key, "x", "y").agg(F.min(near).alias("best"))
         border = F.least(*(F.col(c) - (column(c) - 1) * size for c in ("x", "y")), *((column(c) + 2) * size - F.col(c) for c in ("x", "y")))
         sure = F.col("best").isNotNull() & (F.lit(last) | (F.sqrt("best.d2") <= border))
-        seen = best.withColumn("sure", sure).persist()
+        seen = kept(best.withColumn("sure", sure))
         found = seen.filter("sure").select(left_key, F.col(f"best.{right_key}").alias(right_key))
         out = found if out is None else out.unionByName(found)
         todo = seen.filter("NOT sure").select(left_key, "x", "y")

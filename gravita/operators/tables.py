@@ -20,6 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/gravita-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder: later plans read them instead of holding how they came about,
+    and a lost executor takes nothing with it."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def only_row(df: DataFrame, one: DataFrame) -> DataFrame:
     """Every row beside the one row of an ungrouped aggregate, which is broadcast."""
     return df.crossJoin(F.broadcast(one))
@@ -29,11 +36,9 @@ def enumerate_rows(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
     """Dense numbers from 0 in a total order. Rows are sorted over all partitions and numbered there;
     only the partitions' counts meet in one place. The sorted rows are checkpointed, since both passes
     must see the same partitions."""
-    spark = df.sparkSession
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = placed.withColumn("_mid", F.monotonically_increasing_id())
-    shared_folder(spark)
-    placed = placed.checkpoint()
+    placed = kept(placed)
     part, at = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

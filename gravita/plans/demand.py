@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import allocate, checks, cluster, emit, gravity, report, spatial
-from ..operators.tables import integerize
+from ..operators.tables import integerize, kept
 
 
 @dataclass(frozen=True)
@@ -29,34 +29,34 @@ class Demand:
 
 def build(radios: DataFrame, workplaces: DataFrame, config: Config, budget: DataFrame | None = None) -> Demand:
     """radios: radio, lon, lat, employed; workplaces: workplace, lon, lat, employment_weight; budget: one
-    row with the number of display clusters. Model-sized tables (zones, clusters, flows) are kept; the
-    radios and workplaces are read where they are needed."""
+    row with the number of display clusters. Each step's table is kept in the shared
+    folder, so that plans stay small and nothing is computed twice."""
     spark = radios.sparkSession
     budget = budget if budget is not None else spark.range(1).select(F.lit(config.display_cluster_count).cast("long").alias("budget"))
-    radios = cluster.zoned(radios, config.solver_zone_degrees).persist()
-    zones = cluster.zone_totals(radios).persist()
-    labels = cluster.ward_clusters(radios, zones, cluster.apportioned(zones, budget)).persist()
-    clusters = cluster.display_clusters(radios, labels, config.bbox).persist()
-    solver = cluster.solver_zones(clusters, zones).persist()
+    radios = kept(cluster.zoned(radios, config.solver_zone_degrees))
+    zones = kept(cluster.zone_totals(radios))
+    labels = kept(cluster.ward_clusters(radios, zones, cluster.apportioned(zones, budget)))
+    clusters = kept(cluster.display_clusters(radios, labels, config.bbox))
+    solver = kept(cluster.solver_zones(clusters, zones))
     homes = radios.join(labels, "radio").join(clusters.select("zone", "label", "cluster"), ["zone", "label"]).select("radio", "lon", "lat", "cluster")
-    placed = integerize(workplaces, "employment_weight", "workplace", "capacity")
-    capacities = spatial.capacity_by_cluster(placed, homes, clusters).persist()
-    destinations = cluster.destination_zones(clusters, capacities, solver).persist()
+    placed = kept(integerize(workplaces, "employment_weight", "workplace", "capacity"))
+    capacities = kept(spatial.capacity_by_cluster(placed, homes, clusters))
+    destinations = kept(cluster.destination_zones(clusters, capacities, solver))
     scaled = cluster.formal_targets(clusters, capacities)
-    targets = integerize(scaled, "scaled", "cluster", "formal", scaled.agg(F.max("formal_total").alias("total"))).persist()
+    targets = kept(integerize(scaled, "scaled", "cluster", "formal", scaled.agg(F.max("formal_total").alias("total"))))
     o_targets = targets.join(clusters.select("cluster", "zone"), "cluster").groupBy(F.col("zone").alias("o")).agg(F.sum("formal").alias("target"))
     d_targets = destinations.select("d", F.col("capacity").alias("target"))
     edges = spatial.candidate_edges(solver.select(F.col("zone").alias("o"), "lon", "lat"), destinations.select("d", "lon", "lat"), config.candidate_origins, config.gravity_decay_km)
-    flows = gravity.transported(
+    flows = kept(gravity.transported(
         edges, o_targets, d_targets, config.ipf_tolerance, config.ipf_max_iterations, config.projection_capacity_multiplier, config.projection_flow_quantum
-    ).persist()
+    ))
     own = targets.join(clusters.select("cluster", "zone"), "cluster").select(F.col("zone").alias("o"), F.col("cluster").alias("oc"), F.col("formal").alias("size"))
     held = capacities.join(clusters.select("cluster", "zone"), "cluster").join(destinations.select("d", "zone"), "zone")
     held = held.select("d", F.col("cluster").alias("dc"), F.col("capacity").alias("size"))
-    assigned = allocate.disaggregate(flows.select("o", "d", "size"), own, held).persist()
+    assigned = kept(allocate.disaggregate(flows.select("o", "d", "size"), own, held))
     residual = targets.select(F.col("cluster").alias("oc"), (F.col("employed") - F.col("formal")).alias("size"))
-    pops = emit.populations(assigned, residual, clusters.select("cluster", "id", "lon", "lat"), config.maximum_population_size).persist()
-    points = emit.demand_points(clusters.select("id", "lon", "lat"), pops).persist()
+    pops = kept(emit.populations(assigned, residual, clusters.select("cluster", "id", "lon", "lat"), config.maximum_population_size))
+    points = kept(emit.demand_points(clusters.select("id", "lon", "lat"), pops))
     dense = report.commute_figures(report.with_km(flows, solver.select("zone", "lon", "lat"), destinations.select("d", "lon", "lat"), "o", "d"), "w", "dense_formal")
     spots = clusters.select("cluster", "lon", "lat")
     exported = report.commute_figures(report.with_km(assigned, spots, spots, "oc", "dc"), "size", "exported_formal")
