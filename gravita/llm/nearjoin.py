@@ -6,12 +6,14 @@ chunk therefore enumerates its three ways of leaving one symbol out, and the two
 bucket. So every pair within distance 19 meets, whatever the data. Sets at similarity 0.75 differ in 7.5
 symbols on average, and in more than 19 with a probability under 2e-6.
 
-Equal sets are one node from the start. Then, in two rounds:
+Equal sets are one node from the start. Then, in three rounds:
 1. every member of a bucket is compared with the bucket's least member, and links are confirmed;
-2. in buckets that still hold several components, all members of different components are compared.
-A pair inside one component needs no link, so nothing is lost, while a bucket of thousands of copies
-costs no more than its size. Comparisons within a bucket are vectors in memory; rows are made only for
-pairs within the distance and with sizes that allow the similarity.
+2. in buckets that still hold several components, each member is compared with the nearest signature of
+   another component;
+3. of components that still have members within the distance in some bucket, all sets are compared, in
+   blocks that are held in memory.
+A pair inside one component needs no link, so nothing is lost, while thousands of near-copies make rows
+in proportion to their number. Signatures within a bucket are compared as vectors in memory.
 
 Defined results: texts without words are linked with nothing; null doc_ids count as the largest id and
 rows that share a doc_id as one document; an empty table gives an empty result.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import gc
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +36,8 @@ from .shingles import Orders, set_digest, shingles
 SYMBOLS, CHUNK, DISTANCE = 30, 3, 19
 #: Percent of the union that the intersection must reach.
 PERCENT = 75
+#: Sets of a component in a block.
+BLOCK = 512
 _NULL_ID = (1 << 63) - 1
 _ORDERS = Orders(SYMBOLS)
 _SALT = np.random.default_rng(41).integers(0, 1 << 63, (SYMBOLS // CHUNK, CHUNK), np.uint64)
@@ -135,26 +140,49 @@ def _led(batches):
 _PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _across(batches):
-    """Close pairs of different components in the same bucket."""
+def _other_pairs(b: pa.RecordBatch):
+    """Indices (i, j) and distances of close rows of one bucket and different components, a step of rows at a time."""
+    k, n, c, sig = *(b.column(x).to_numpy() for x in ("bucket", "n", "component")), _signatures(b)
+    here, step = np.arange(len(k)), 1
+    while True:
+        here = here[here + step < len(k)]
+        here = here[k[here] == k[here + step]]
+        if not len(here):
+            return
+        i = here[c[here] != c[here + step]]
+        i = i[100 * np.minimum(n[i], n[i + step]) >= PERCENT * np.maximum(n[i], n[i + step])]
+        apart = (sig[i] != sig[i + step]).sum(1)
+        ok = apart <= DISTANCE
+        if ok.any():
+            yield i[ok], i[ok] + step, apart[ok]
+        step += 1
+
+
+def _sorted_pairs(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    u, v = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+    return batch(_PAIRS, u, v)
+
+
+def _nearest_other(batches):
+    """For each row of a bucket the nearest one of another component."""
     for b in _groups(batches):
-        k, node, n, c, sig = *(b.column(x).to_numpy() for x in ("bucket", "node", "n", "component")), _signatures(b)
-        here = np.arange(len(k))
-        step, found = 1, []
-        while True:
-            here = here[here + step < len(k)]
-            here = here[k[here] == k[here + step]]
-            if not len(here):
-                break
-            i = here[c[here] != c[here + step]]
-            i = i[_close(sig, n, i, i + step)]
-            if len(i):
-                found.append(np.stack([node[i], node[i + step]]))
-            step += 1
+        best, at = np.full(b.num_rows, DISTANCE + 1), np.full(b.num_rows, -1)
+        for i, j, apart in _other_pairs(b):
+            for x, y in ((i, j), (j, i)):
+                less = apart < best[x]
+                best[x[less]], at[x[less]] = apart[less], y[less]
+        node, some = b.column("node").to_numpy(), np.flatnonzero(at >= 0)
+        if len(some):
+            yield _sorted_pairs(node[some], node[at[some]])
+
+
+def _component_pairs(batches):
+    """Components with close rows in one bucket."""
+    for b in _groups(batches):
+        c = b.column("component").to_numpy()
+        found = [np.unique(np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])]), axis=1) for i, j, _ in _other_pairs(b)]
         if found:
-            u, v = np.concatenate(found, 1)
-            u, v = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
-            yield batch(_PAIRS, u, v)
+            yield _sorted_pairs(*np.concatenate(found, 1))
 
 
 def _full_sets(batches):
@@ -176,11 +204,71 @@ def _confirmed(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame
     return out
 
 
+def _meeting(key, owners: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
+    """For each visiting set an owner's set that it reaches the similarity with, if there is one."""
+    if not len(owners) or not len(visitors):
+        return pd.DataFrame({"u": [], "v": []})
+    size = owners.members.map(len).to_numpy()
+    members, of = np.concatenate(owners.members.to_list()), np.repeat(np.arange(len(size)), size)
+    order = np.argsort(members, kind="stable")
+    members, of, out = members[order], of[order], []
+    for node, own in zip(visitors.node, visitors.members, strict=True):
+        a, b = np.searchsorted(members, own, "left"), np.searchsorted(members, own, "right")
+        n = b - a
+        ends = np.cumsum(n)
+        shared = np.bincount(of[np.repeat(a - (ends - n), n) + np.arange(int(ends[-1]))], minlength=len(size))
+        hit = np.flatnonzero(100 * shared >= PERCENT * (size + len(own) - shared))
+        if len(hit):
+            out.append((node, owners.node.iloc[hit[0]]))
+    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+
+def _exhausted(scratch: Scratch, docs: DataFrame, pairs: DataFrame, sized: DataFrame, sets_of: DataFrame) -> DataFrame:
+    """Links between components (u, v) all of whose sets are compared, blocks of the larger one's with
+    blocks of the smaller one's, so that the rows follow the sets and not their pairs.
+
+    sized: component, size; sets_of: node, component (of every node)."""
+    a, b = (sized.select(F.col("component").alias(c), F.col("size").alias(f"{c}_size")) for c in ("u", "v"))
+    both = pairs.join(a, "u").join(b, "v")
+    larger = F.col("u_size") >= F.col("v_size")
+    met = scratch.write(both.select(
+        F.when(larger, F.col("u")).otherwise(F.col("v")).alias("owner"), F.when(larger, F.col("v")).otherwise(F.col("u")).alias("visitor"),
+        F.greatest("u_size", "v_size").alias("held"), F.least("u_size", "v_size").alias("coming"),
+    ))
+    wanted = met.select(F.col("owner").alias("component")).unionByName(met.select(F.col("visitor").alias("component"))).distinct()
+    nodes = sets_of.join(wanted, "component")
+    sets = scratch.write(docs.join(nodes.select("node"), "node", "left_semi").mapInArrow(_full_sets, "node long, members array<long>"))
+    full = sets.join(nodes, "node")
+    shares = met.groupBy("owner").agg(F.max("held").alias("held"), F.sum("coming").alias("coming"))
+    shares = shares.select("owner", F.ceil(F.col("held") / BLOCK).cast("long").alias("blocks"), F.ceil(F.col("coming") / BLOCK).cast("long").alias("parts"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    spot = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    owners = full.join(shares, full["component"] == shares["owner"]).select("owner", spot("blocks").alias("block"), each("parts").alias("part"), F.col("node").alias("node"), F.col("members").alias("members"))
+    visitors = met.select("owner", F.col("visitor").alias("component")).join(shares, "owner").join(full, "component")
+    visitors = visitors.select("owner", each("blocks").alias("block"), spot("parts").alias("part"), "node", "members")
+    on = ["owner", "block", "part"]
+    out = scratch.write(owners.groupBy(*on).cogroup(visitors.groupBy(*on)).applyInPandas(_meeting, "u long, v long"))
+    scratch.drop(met, sets)
+    return out
+
+
 def _settle(spark: SparkSession) -> None:
     gc.collect()
     spark._jvm.System.gc()
 
 
+def _edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
+def _in_mixed_buckets(led: DataFrame, found: DataFrame, step) -> DataFrame:
+    """Pairs (u, v) that a step finds in the buckets that hold several components."""
+    labelled = led.join(found, "node", "left").select("bucket", "node", "n", "signature", F.coalesce("component", "node").alias("component"))
+    several = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
+    rows = labelled.join(several, "bucket").repartition("bucket").sortWithinPartitions("bucket", "node")
+    return rows.mapInArrow(step, "u long, v long").distinct()
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
     scratch = Scratch(spark, "near")
@@ -200,19 +288,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     links = _confirmed(scratch, keyed, stars)
     _settle(spark)
     first = scratch.write(components(scratch, links))
-    labelled = led.join(first, "node", "left").select(
-        "bucket", "node", "n", "signature", F.coalesce("component", "node").alias("component")
-    )
-    mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-    pairs = (
-        labelled.join(mixed_buckets, "bucket").repartition("bucket").sortWithinPartitions("bucket", "node")
-        .mapInArrow(_across, "u long, v long").distinct().join(stars, ["u", "v"], "left_anti")
-    )
-    pairs = scratch.write(pairs)
+    nearest = scratch.write(_in_mixed_buckets(led, first, _nearest_other).join(stars, ["u", "v"], "left_anti"))
+    _settle(spark)
+    more = _confirmed(scratch, keyed, nearest)
+    second = scratch.write(components(scratch, _edges(first).unionByName(more)))
+    left = _in_mixed_buckets(led, second, _component_pairs)
+    named = nodes.select("node").join(second, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    sized = named.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    alone = sized.filter("size = 1").select("component")
+    tested = stars.unionByName(nearest)
+    tested = tested.join(alone.select(F.col("component").alias("u")), "u").join(alone.select(F.col("component").alias("v")), "v")
+    left = scratch.write(left.join(tested, ["u", "v"], "left_anti"))
     _settle(spark)
-    more = _confirmed(scratch, keyed, pairs)
-    final = scratch.write(components(scratch, first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)))
-    scratch.drop(led, stars, pairs, first)
+    last = _exhausted(scratch, keyed, left, sized, named)
+    final = scratch.write(components(scratch, _edges(second).unionByName(last)))
+    scratch.drop(led, stars, nearest, left, first, second)
     _settle(spark)
     own = nodes.join(final, "node", "left").select(F.col("n").alias("n_shingles"), "a", "b", F.coalesce("component", "node").alias("component_id"))
     full = sets.filter("n_shingles > 0").drop("minima").join(own, same).select("doc_id", "n_shingles", "component_id")

@@ -11,6 +11,8 @@ import numpy as np
 from .substrings import Fingerprints, mixed
 
 WORDS = 5
+#: Bytes of a text whose words are hashed at once.
+BLOCK = 1 << 20
 _BYTES = Fingerprints(21)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -25,8 +27,14 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sums = _BYTES.sums(a)
-    word = mixed((sums[ends] - sums[starts]) * _BYTES.down[starts] + (ends - starts).astype(np.uint64))
+    word, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        at = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, at + BLOCK)))
+        sums, own = _BYTES.sums(a[at : ends[j - 1]]), slice(i, j)
+        size = ends[own] - starts[own]
+        word[own] = mixed((sums[ends[own] - at] - sums[starts[own] - at]) * _BYTES.down[starts[own] - at] + size.astype(np.uint64))
+        i = j
     n = min(words, len(word))
     out = np.full(len(word) - n + 1, n, np.uint64)
     for i in range(n):
