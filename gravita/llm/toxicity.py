@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import batch, bounded_sample, remainder, texts
 
-SAMPLE = 1200
+SAMPLE = 800
 #: Weights kept: the largest, and none that are next to nothing.
 WEIGHTS, LEAST_WEIGHT = 50_000, 0.02
 THRESHOLD = 0.3
@@ -29,6 +29,8 @@ THRESHOLD = 0.3
 REMEMBERED, BLOCK, MATTERS = 500_000, 16 << 20, 0.05
 #: Log likelihood ratio from which a form is no accident.
 SIGNIFICANT = 10.0
+#: Words in a chain while learning. All words are learned from; scoring never cuts a text.
+SEGMENT = 400
 _WORD = re.compile(r"\S+")
 _EDGES = ".,;:!?\"'()[]{}*%$&#|-_"
 
@@ -145,6 +147,14 @@ def telling(seen: np.ndarray, toxic: int, clean: int) -> np.ndarray:
     return (yes > 0.8 * n) & (yes > base * n) & (np.nan_to_num(ratio) > SIGNIFICANT)
 
 
+def segments(lengths: np.ndarray, most: int = SEGMENT) -> np.ndarray:
+    """Lengths of the chains after those over ``most`` are cut, in order."""
+    parts = -(-lengths // most)
+    out = np.full(int(parts.sum()), most)
+    out[np.cumsum(parts)[lengths > 0] - 1] = (lengths - (parts - 1) * most)[lengths > 0]
+    return out
+
+
 def originals(tokens: list[np.ndarray]) -> np.ndarray:
     """Documents that share none of their four least word pairs with an earlier one: of copies, whose
     words would count as often as they were copied, the first."""
@@ -204,12 +214,13 @@ def tagger(found: list[str], toxic: np.ndarray, rounds: int = 25) -> Field:
     pair = np.zeros((2, 2))
     np.add.at(pair, (labels[i - 1].astype(int), labels[i].astype(int)), 1.0)
     field.moves = np.log((pair + 1) / (pair + 1).sum(1, keepdims=True))
+    cut = segments(lengths)
     past = [np.full(len(form_at), 1e-6) for _ in range(3)]
     for _ in range(rounds):
         score = np.bincount(word_of, weights[0][form_of], len(own))[token]
         score[i] += weights[1][first][token[i - 1]]
         score[i - 1] += weights[2][first][token[i]]
-        wrong = marginals(score, lengths, field.moves) - labels
+        wrong = marginals(score, cut, field.moves) - labels
         steps = (
             np.bincount(form_of, np.bincount(token, wrong, len(own))[word_of], len(form_at)),
             np.bincount(first, np.bincount(token[i - 1], wrong[i], len(own)), len(form_at)),
