@@ -438,6 +438,20 @@ def weighted_percentile(spark, sf_dir):
     return tables.weighted_percentile(table(spark, sf_dir, "lineitem"), "l_quantity", "l_linenumber", 0.9, "p90")
 
 
+@query("""WITH v AS (SELECT l_quantity AS v, CAST(l_linenumber AS BIGINT) AS w FROM lineitem), c AS (SELECT v, sum(sum(w)) OVER (ORDER BY v) AS upto FROM v GROUP BY v), t AS (SELECT sum(w) AS t FROM v)
+SELECT (SELECT round(sum(v * w) / sum(w), 6) FROM v) AS x_mean_km, min(v) FILTER (WHERE upto >= 0.5e0 * t) AS x_p50_km, min(v) FILTER (WHERE upto >= 0.9e0 * t) AS x_p90_km, max(v) AS x_max_km FROM c, t""")
+def commute_figures(spark, sf_dir):
+    flows = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("km"), F.col("l_linenumber").alias("w"))
+    return report.commute_figures(flows, "w", "x").withColumn("x_mean_km", F.round("x_mean_km", 6))
+
+
+@query("SELECT count(*) AS points, count(*) FILTER (WHERE o_orderkey % 3 > 0) AS job_points, count(*) FILTER (WHERE o_orderkey % 2 > 0) AS resident_points, count(*) - count(DISTINCT o_custkey) AS duplicate_coordinates FROM orders")
+def output_counts(spark, sf_dir):
+    points = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("jobs"), (F.col("o_orderkey") % 2).alias("residents"), F.array(F.col("o_custkey").cast("double")).alias("location"))
+    sizes = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("size"))
+    return report.output_figures(points, sizes).select("points", "job_points", "resident_points", "duplicate_coordinates")
+
+
 @query("SELECT min(l_quantity) AS min, median(l_quantity) AS median, round(avg(l_quantity), 6) AS mean, quantile_cont(l_quantity, 0.9) AS p90, max(l_quantity) AS max FROM lineitem")
 def size_distribution(spark, sf_dir):
     return tables.size_summary(table(spark, sf_dir, "lineitem"), "l_quantity").withColumn("mean", F.round("mean", 6))
