@@ -34,6 +34,8 @@ from .exact import heavy_digests
 LENGTH = 200
 GRAM = 40
 CROWD = 16384
+#: Suffixes of a text, and bytes of contexts, handled at once.
+BLOCK = 1 << 19
 _KEY = ["key", "mark"]
 _NULL_ID = -(1 << 63)
 
@@ -50,7 +52,7 @@ class Fingerprints:
 
     def _powers(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up), 1 << 16)
+            n = max(n + n // 8, 1 << 16)
             self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, self.base, np.uint64)]))
             self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, self.inverse, np.uint64)]))
 
@@ -89,9 +91,15 @@ _GRAMS, _LEFT, _RIGHT = Fingerprints(11), Fingerprints(12), Fingerprints(13)
 
 
 def anchors(a: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint of each anchor in order, and the first and last suffix that has it."""
-    if len(a) < length:
+    """Fingerprint of each anchor in order, and the first and last suffix that has it. Long texts are
+    worked through in blocks of suffixes; an anchor whose suffixes lie in two blocks is given twice."""
+    parts = [(at, _anchors(a[at : at + BLOCK + length - 1], length, gram)) for at in range(0, len(a) - length + 1, BLOCK)]
+    if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate([p[k] + (at if k else 0) for at, p in parts]) for k in range(3))
+
+
+def _anchors(a: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     g = _GRAMS.all(a, gram)
     least = sliding_min((g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64), length - gram + 1)
     place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -154,18 +162,24 @@ def _contexts(length: int, gram: int):
 
 
 def _windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place in its text and both digits of every suffix of a batch of contexts."""
-    column = b.column("bytes")
+    """Row, place in its text and both digits of every suffix of a batch of contexts. Fingerprints are
+    taken of a block of rows at a time."""
+    column, half = b.column("bytes"), length // 2
     cuts = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    raw = np.frombuffer(column.buffers()[2], np.uint8)[cuts[0] : cuts[-1]]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)
     n = b.column("n").to_numpy().astype(np.int64)
     ends = np.cumsum(n)
     row = np.repeat(np.arange(len(n)), n)
     step = np.arange(int(ends[-1])) - (ends - n)[row]
-    start = (cuts[:-1] - cuts[0])[row] + step
-    half = length // 2
-    left = _LEFT.at(_LEFT.sums(raw), start, half)
-    right = _RIGHT.at(_RIGHT.sums(raw), start + half, length - half)
+    left, right = np.empty(len(row), np.uint64), np.empty(len(row), np.uint64)
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + BLOCK, side="right")) - 1)
+        own = slice(int(ends[i] - n[i]), int(ends[j - 1]))
+        part, start = raw[cuts[i] : cuts[j]], cuts[:-1][row[own]] - cuts[i] + step[own]
+        left[own] = _LEFT.at(_LEFT.sums(part), start, half)
+        right[own] = _RIGHT.at(_RIGHT.sums(part), start + half, length - half)
+        i = j
     return row, b.column("at").to_numpy().astype(np.int64)[row] + step, left, right
 
 
@@ -192,6 +206,20 @@ def _repeated(b: pa.RecordBatch, length: int) -> pa.RecordBatch:
     return batch(_SPANS, keys[row[first]], marks[row[first]], place[first].astype(np.int32), (place[final] + length).astype(np.int32))
 
 
+def _cut(b: pa.RecordBatch):
+    """Parts of about BLOCK bytes of contexts, cut between anchors."""
+    if not b.num_rows:
+        return
+    column, a = b.column("bytes"), b.column("anchor").to_numpy()
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    new = np.concatenate([np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])), [len(a)]])
+    begin = 0
+    while begin < len(a):
+        end = int(new[max(np.searchsorted(at[new], at[begin] + BLOCK, side="right") - 1, np.searchsorted(new, begin, side="right"))])
+        yield b.slice(begin, end - begin)
+        begin = end
+
+
 def _by_anchor(length: int):
     """Streams a partition sorted by anchor, holding one batch and the group that it ends in."""
 
@@ -204,8 +232,7 @@ def _by_anchor(length: int):
             if not len(a):
                 continue
             cut = int(np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))[-1])
-            if cut:
-                yield _repeated(b.slice(0, cut), length)
+            yield from (_repeated(part, length) for part in _cut(b.slice(0, cut)))
             rest = b.slice(cut)
         if rest is not None and rest.num_rows:
             yield _repeated(rest, length)
@@ -217,7 +244,7 @@ def _crowd_rows(length: int):
     schema = pa.schema([("key", pa.int64()), ("mark", pa.int64()), ("begin", pa.int32()), ("left", pa.int64()), ("right", pa.int64())])
 
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             row, place, left, right = _windows(b, length)
             keys, marks = b.column("key").to_numpy(), b.column("mark").to_numpy()
             yield batch(schema, keys[row], marks[row], place.astype(np.int32), left.view(np.int64), right.view(np.int64))
