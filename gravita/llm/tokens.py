@@ -21,25 +21,46 @@ import pyarrow.compute as pc
 #: The characters with Unicode's White_Space property.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-_SOUND = re.compile(f"\\n?[^{WHITE}](?:.*[^{WHITE}])?", re.DOTALL)
-#: Pieces remembered by one process, and bytes of text handled at once.
-REMEMBERED = 600_000
+#: Pieces a generation of a cache holds before it becomes the older one, and bytes of text handled at once.
+REMEMBERED = 350_000
 BLOCK = 4 << 20
 
 
+class Cache:
+    """Pieces met lately, in two generations: those not met again while one fills up are forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def age(self) -> None:
+        if len(self.new) > self.most:
+            self.new, self.old = {}, self.new
+
+    def missing(self, pieces: list[str]) -> list[str]:
+        """Pieces to learn; the others are in the younger generation afterwards."""
+        new, out = self.new, []
+        for p in pieces:
+            if p not in new:
+                held = self.old.get(p)
+                if held is None:
+                    out.append(p)
+                else:
+                    new[p] = held
+        return out
+
+
 class PieceEncoder:
     """encode(pieces) gives the ids of each piece as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int]):
         self._encode, self._special = encode, {k: np.uint32(v).tobytes() for k, v in special.items()}
         self._split = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self._after_space: dict[str, bytes] = {}
-        self._alone: dict[str, bytes] = {}
+        self._after_space, self._alone = Cache(REMEMBERED), Cache(REMEMBERED // 4)
 
     def _raw(self, pieces: list[str]) -> None:
         """Learn pieces that stand as they are."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self._alone]
-        self._alone.update(zip(new, self._encode(new), strict=True))
+        new = self._alone.missing(list(dict.fromkeys(pieces)))
+        self._alone.new.update(zip(new, self._encode(new), strict=True))
 
     def one(self, text: str) -> bytes:
         out = []
@@ -49,37 +70,42 @@ class PieceEncoder:
             elif part:
                 runs = _RUNS.findall(part)
                 self._raw(runs)
-                out += map(self._alone.__getitem__, runs)
+                out += map(self._alone.new.__getitem__, runs)
         return b"".join(out)
 
-    def _sound(self, piece: str) -> bool:
-        return bool(_SOUND.fullmatch(piece)) and not (self._split and self._split.search(piece))
+    def _sound(self, pieces: list[str]) -> list[str]:
+        """Pieces without white space at their ends, but for one line end in front, and without a special token."""
+        out = [p for p in pieces if p and not p[-1].isspace() and (not p[0].isspace() or (p[0] == "\n" and not p[1].isspace()))]
+        for token in self._special:
+            out = [p for p in out if token not in p]
+        return out
 
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column (null: empty), and where each text's ids begin and the last end."""
-        if len(self._after_space) > REMEMBERED:
-            self._after_space.clear()
-        if len(self._alone) > REMEMBERED:
-            self._alone.clear()
+        self._after_space.age()
+        self._alone.age()
         column = pc.fill_null(column, "")
         pieces = pc.split_pattern(pc.replace_substring(column, pattern="\n", replacement=" \n"), pattern=" ")
         values, cuts = pieces.flatten(), pieces.offsets.to_numpy().astype(np.int64)
         cuts -= cuts[0]
         coded = values.dictionary_encode()
         which, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self._after_space]
-        sound = [p for p in new if self._sound(p)]
-        self._after_space.update(zip(sound, self._encode([p if p[0] == "\n" else " " + p for p in sound]), strict=True))
-        odd = set(new) - set(sound)
-        entries = [b"" if p in odd else self._after_space[p] for p in distinct]
+        new = self._after_space.missing(distinct)
+        sound = self._sound(new)
+        self._after_space.new.update(zip(sound, self._encode([p if p[0] == "\n" else " " + p for p in sound]), strict=True))
+        odd = set(new) - set(sound) if len(sound) < len(new) else set()
+        known = self._after_space.new
+        entries = [known.get(p, b"") for p in distinct]
         heads = values.take(pa.array(cuts[:-1])).to_pylist()
-        unsound = np.fromiter((p in odd for p in distinct), bool, len(distinct))
-        rough = np.add.reduceat(unsound[which].astype(np.int64), cuts[:-1]) > 0
+        rough = np.zeros(len(heads), bool)
+        if odd:
+            unsound = np.fromiter((p in odd for p in distinct), bool, len(distinct))
+            rough = np.add.reduceat(unsound[which].astype(np.int64), cuts[:-1]) > 0
         self._raw([h for h, r in zip(heads, rough, strict=True) if not r])
         for i in np.flatnonzero(rough):
             which[cuts[i] : cuts[i + 1]] = len(entries) + len(heads)
         which[cuts[:-1]] = len(distinct) + np.arange(len(heads))
-        entries += [self.one(column[i].as_py()) if rough[i] else self._alone[h] for i, h in enumerate(heads)]
+        entries += [self.one(column[i].as_py()) if rough[i] else self._alone.new[h] for i, h in enumerate(heads)]
         entries.append(b"")
         size = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
         start, held = np.cumsum(size) - size, np.frombuffer(b"".join(entries), "<u4")
@@ -114,21 +140,22 @@ def library_encoder(path: str) -> PieceEncoder:
     width = np.zeros(max(vocab.values()) + 1, np.int64)
     for word, i in vocab.items():
         width[i] = len(word)
-    joins = re.compile(f"[{WHITE}].*[^{WHITE}]", re.DOTALL)
+    joins = re.compile(f"[{WHITE}]")
 
     def joined(pieces: list[str]) -> list[bytes]:
-        ids = np.array(t.encode("".join(pieces), add_special_tokens=False).ids, "<u4")
+        ids = np.array(t.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum([len(p.encode()) for p in pieces])
-        at = np.searchsorted(np.cumsum(width[ids]), ends) + 1
-        return [ids[a:b].tobytes() for a, b in zip([0, *at[:-1]], at, strict=True)]
+        at = (4 * (np.searchsorted(np.cumsum(width[ids]), ends) + 1)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *at[:-1]], at, strict=True)]
 
     def encode(pieces: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
-        easy = [p for p in pieces if joins.fullmatch(p)]
+        easy = [p for p in pieces if joins.match(p) and not p[-1].isspace()]
         for i in range(0, len(easy), 500):
             out |= zip(easy[i : i + 500], joined(easy[i : i + 500]), strict=True)
         hard = [p for p in pieces if p not in out]
-        out |= zip(hard, (np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(hard, add_special_tokens=False)), strict=True)
+        out |= zip(hard, (np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(hard, add_special_tokens=False)), strict=True)
         return [out[p] for p in pieces]
 
     return PieceEncoder(encode, special)
