@@ -52,6 +52,12 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(scratch: Scratch, docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, written with a number of its own for each row, so that rows are told apart even where ids
+    repeat or are null and every later read sees the same numbers."""
+    return scratch.write(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def remainder(id_col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch
+from .common import Scratch, batch, numbered
 
 #: Counters a summary may hold, and the share of all rows from which a digest counts as heavy.
 COUNTERS = 1024
 HEAVY_SHARE = 1 / 256
+#: Column that tells rows apart while copies are dropped.
+ROW = "_row"
 
 
 def misra_gries(items, held: dict, counters: int) -> dict:
@@ -103,6 +105,9 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows with a null id stay."""
-    gone = exact_duplicates(spark, docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti")
+    """One row of ``docs`` for each text, with all its columns: the largest id, of rows that share it any
+    one, and a row with a null id only where no other holds the text."""
+    rows = numbered(Scratch(spark, "exact-rows"), docs, ROW)
+    ranked = rows.select(F.struct(F.col(id_col), F.col(ROW)).alias("rank"), text_col)
+    gone = exact_duplicates(spark, ranked, "rank", text_col).filter(~F.col("kept")).select(F.col(f"doc_id.{ROW}").alias(ROW))
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)

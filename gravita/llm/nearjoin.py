@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch
+from .common import Scratch, batch, numbered
 from .components import components
 from .shingles import Orders, set_digest, shingles
 
@@ -39,6 +39,8 @@ PERCENT = 75
 #: Sets of a component in a block.
 BLOCK = 512
 _NULL_ID = (1 << 63) - 1
+#: Column that tells rows apart while copies are dropped.
+ROW = "_row"
 _ORDERS = Orders(SYMBOLS)
 _SALT = np.random.default_rng(41).integers(0, 1 << 63, (SYMBOLS // CHUNK, CHUNK), np.uint64)
 
@@ -313,6 +315,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` of which each component keeps one, with all their columns."""
-    gone = near_duplicates(spark, docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs`` of which each component keeps one, with all their columns. Every row is a document
+    of its own: the smallest id stays, a null id counts as the largest, and of rows that share it any one."""
+    rows = numbered(Scratch(spark, "near-rows"), docs, ROW)
+    found = near_duplicates(spark, rows.select(F.col(ROW).alias("doc_id"), "text"))
+    members = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))
+    first = members.groupBy("component_id").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    gone = members.join(first, "component_id").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW)
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
