@@ -1,16 +1,21 @@
 """Packing by lexical retrieval.
 
 Documents become token ids once, in a table in the shared folder. Document frequencies and the mean
-length are counted over all documents. Each task then reads its part of the table in shards of bounded
-size, builds a BM25 inverted index over a shard's tokens, and fills windows: a seed document is followed
-by its best unused neighbours in the shard until the window is full; the document that is cut there
-seeds the next window with what is left of it. What remains when a shard is used up is carried into the
-next shard, and what remains at the end of a task is cut into sequences whose lengths are powers of two,
-so no sequence needs padding. Nothing is shuffled but the counts.
+length are counted over all documents. Windows are filled in many chains: a seed document is followed by
+its best unused neighbours in the whole table until the window is full; the document that is cut there
+seeds the chain's next window with what is left of it.
+
+The chains go on in rounds. In a round every task reads the unplaced documents in shards of bounded size,
+builds a BM25 inverted index over a shard and asks it for every open window's seed, so that each seed meets
+each unplaced document; of each task and seed only the best documents that would fill four windows are kept.
+The lists are merged, and the driver lets the chains take from them in order. A chain whose list was used
+up by others asks again in the next round. What fits one shard at the end is finished on the driver.
+Windows that are still open are then joined, and the last is cut into sequences whose lengths are powers
+of two, so no sequence needs padding. The work grows with the windows times the documents: that is what asking for all neighbours costs.
 
 Defined results: null text is empty and has the end id alone; rows that repeat a doc_id are packed one by
 one; ties between neighbours go to the earlier row; an empty table gives an empty result. A sequence's
-id holds its task and its number there.
+id holds its chain and its number there.
 """
 
 from __future__ import annotations
@@ -19,17 +24,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch
+from .common import Scratch, batch, numbered
 from .tokens import library_encoder
 
 WINDOW, END = 2048, 1
 #: Documents and ids in a shard at most (a longer document is a shard by itself); BM25's constants.
 SHARD_DOCS, SHARD_IDS = 1024, 2_000_000
 K1, B = 1.2, 0.75
+#: Chains at most, windows' worth of unplaced ids for each new one, and of ids in a list (a chain whose
+#: list is used up asks again).
+CHAINS, AHEAD, LISTED_WINDOWS = 4096, 4, 4
 
 
 def _encode(path: str, end: int):
@@ -98,13 +105,15 @@ class Shard:
         order = np.argsort(term, kind="stable")
         self.doc, self.score = doc[order], score[order]
         self.known, first, n = np.unique(term[order], return_index=True, return_counts=True)
-        several = n > 1
-        self.known, self.first, self.n = self.known[several], first[several], n[several]
+        self.first, self.n = first, n
         self.size = len(docs)
 
     def scores(self, i: int) -> np.ndarray:
         """BM25 of every document for the distinct ids of document i."""
-        own = self.terms[i]
+        return self.scores_of(self.terms[i])
+
+    def scores_of(self, own: np.ndarray) -> np.ndarray:
+        """BM25 of every document for some distinct ids."""
         at = np.searchsorted(self.known, own)
         at = at[(at < len(self.known)) & (self.known[np.minimum(at, len(self.known) - 1)] == own)] if len(self.known) else at[:0]
         n = self.n[at]
@@ -171,35 +180,125 @@ def fill_shard(filler: Filler, ids: list, docs: list[np.ndarray], stats: Bm25) -
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _PIECES = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
+LISTED = "seed long, score double, row long, n long"
+_LISTED = pa.schema([("seed", pa.int64()), ("score", pa.float64()), ("row", pa.int64()), ("n", pa.int64())])
+PLACED = "row long, start long, length long, sequence_id long, offset long"
+
+
+def _distinct(ids: np.ndarray, stats: Bm25) -> np.ndarray:
+    own = np.unique(ids)
+    return own[stats.idf[own] > 0]
+
 
+def _filling(window: int, seed, score, row, n) -> list[np.ndarray]:
+    """Of each seed's documents, best first, those that begin inside a window."""
+    order = np.lexsort((row, -score, seed))
+    seed, score, row, n = seed[order], score[order], row[order], n[order]
+    before = np.cumsum(n) - n
+    first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])) if len(seed) else np.zeros(0, int)
+    keep = before - np.repeat(before[first], np.diff(np.append(first, len(seed)))) < window
+    return [seed[keep], score[keep], row[keep], n[keep]]
 
-def _out(pieces: list[tuple]) -> pa.RecordBatch:
-    doc_id, start, length, crc, total, sequence, offset, _ = zip(*pieces, strict=True)
-    return batch(_PIECES, doc_id, start, length, crc, total, sequence, offset)
 
+def _lists(seeds: list[tuple[int, np.ndarray]], stats: Bm25, window: int, shard_docs: int, shard_ids: int):
+    """The best of a task's documents for each seed, until they fill a window."""
+
+    def shard(rows: list[int], docs: list[np.ndarray]):
+        index, row, n = Shard(docs, stats), np.array(rows), np.fromiter(map(len, docs), np.int64, len(docs))
+        found = []
+        for seed, terms in seeds:
+            score = index.scores_of(terms)
+            best = np.argsort(-score, kind="stable")
+            best = best[row[best] != seed]
+            size = np.cumsum(n[best])
+            best = best[: int(np.searchsorted(size, window)) + 1]
+            found.append((np.full(len(best), seed), score[best], row[best], n[best]))
+        return [np.concatenate(c) for c in zip(*found, strict=True)]
 
-def _pack(stats: Bm25, window: int, shard_docs: int, shard_ids: int):
     def run(batches):
-        filler = Filler(window, TaskContext.get().partitionId() << 40)
-        ids, docs, held = [], [], 0
+        held, rows, docs, size = None, [], [], 0
         for b in batches:
-            for doc_id, tokens in zip(b.column("doc_id").to_pylist(), _ids(b), strict=True):
-                ids.append(doc_id)
-                docs.append(tokens)
-                held += len(tokens)
-                if len(docs) >= shard_docs or held >= shard_ids:
-                    fill_shard(filler, ids, docs, stats)
-                    ids, docs, held = [], [], 0
-                    if done := filler.take():
-                        yield _out(done)
+            for row, ids in zip(b.column("row").to_pylist(), _ids(b), strict=True):
+                rows.append(row)
+                docs.append(ids)
+                size += len(ids)
+                if len(docs) >= shard_docs or size >= shard_ids:
+                    more = shard(rows, docs)
+                    held = _filling(window, *(more if held is None else map(np.concatenate, zip(held, more, strict=True))))
+                    rows, docs, size = [], [], 0
         if docs:
-            fill_shard(filler, ids, docs, stats)
-        if done := filler.take(last=True):
-            yield _out(done)
+            more = shard(rows, docs)
+            held = _filling(window, *(more if held is None else map(np.concatenate, zip(held, more, strict=True))))
+        if held is not None:
+            yield batch(_LISTED, *held)
 
     return run
 
 
+class Chain:
+    """A filler, and the row that seeds its open window. Only lengths are known here."""
+
+    def __init__(self, window: int, number: int):
+        self.filler, self.seed = Filler(window, number << 40), None
+
+    def place(self, row: int, n: int) -> None:
+        before, at, ids = self.filler.sequence, 0, np.broadcast_to(np.uint8(0), n)
+        while at < n:
+            at = self.filler.add(row, ids, at)
+        if not self.filler.used:
+            self.seed = None
+        elif self.seed is None or self.filler.sequence != before:
+            self.seed = row
+
+    def follow(self, ranked, taken: set[int]) -> None:
+        """Take the best documents that are left until the seed's window is full."""
+        seed = self.seed
+        for row, n in ranked:
+            if self.seed is None or self.seed != seed:
+                return
+            if row not in taken:
+                taken.add(row)
+                self.place(row, n)
+
+
+def _finish(chains: list[Chain], window: int, rows: list[int], docs: list[np.ndarray], seeds: dict[int, np.ndarray], stats: Bm25) -> None:
+    """Place documents that fit one shard: first in the open windows, then in one more chain. Windows that stay open are joined."""
+    taken: set[int] = set()
+    if docs:
+        index, length = Shard(docs, stats), list(map(len, docs))
+        terms = seeds | {r: _distinct(d, stats) for r, d in zip(rows, docs, strict=True)}
+        for c in chains:
+            while c.seed is not None and len(taken) < len(docs):
+                best = np.argsort(-index.scores_of(terms[c.seed]), kind="stable")
+                c.follow(((rows[k], length[k]) for k in best), taken)
+        left = [k for k, r in enumerate(rows) if r not in taken]
+        if left:
+            chains.append(Chain(window, len(chains)))
+            fill_shard(chains[-1].filler, [rows[k] for k in left], [docs[k] for k in left], stats)
+    last = Filler(window, len(chains) << 40)
+    for c in chains:
+        for row, at, n, *_ in (p for p in c.filler.pieces if p[5] == c.filler.sequence):
+            ids, stop = np.broadcast_to(np.uint8(0), at + n), at + n
+            while at < stop:
+                at = last.add(row, ids, at)
+        c.filler.pieces = [p for p in c.filler.pieces if p[5] < c.filler.sequence]
+    chains.append(Chain(window, len(chains)))
+    chains[-1].filler = last
+
+
+def _cut(batches):
+    """Pieces of the documents, with the sums of their ids."""
+    for b in batches:
+        out = []
+        for doc_id, ids, pieces in zip(b.column("doc_id").to_pylist(), _ids(b), b.column("pieces").to_pylist(), strict=True):
+            raw = ids.astype("<u4")
+            for p in pieces:
+                part = raw[p["start"] : p["start"] + p["length"]]
+                out.append((doc_id, p["start"], p["length"], zlib.crc32(part), len(ids), p["sequence_id"], p["offset"]))
+        if out:
+            yield batch(_PIECES, *zip(*out, strict=True))
+
+
 def pack(
     spark: SparkSession,
     docs: DataFrame,
@@ -212,7 +311,73 @@ def pack(
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row for each piece."""
     scratch = Scratch(spark, "packing")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    tokens = scratch.write(rows.mapInArrow(_encode(path, end), "doc_id long, width int, ids binary"))
+    tokens = numbered(scratch, rows.mapInArrow(_encode(path, end), "doc_id long, width int, ids binary"), "row")
     counts = tokens.mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    stats = Bm25({r.id: r.n for r in counts.collect()})  # one row for each id of the vocabulary
-    return tokens.mapInArrow(_pack(stats, window, shard_docs, shard_ids), PIECES)
+    known = {r.id: r.n for r in counts.collect()}  # one row for each id of the vocabulary
+    stats = Bm25(known)
+    unplaced, n_docs, n_ids = tokens.select("row", "width", "ids"), known.get(-1, 0), known.get(-2, 0)
+    chains: list[Chain] = []
+    placed: list[DataFrame] = []
+
+    def terms_of(found: DataFrame) -> dict[int, np.ndarray]:
+        return {r.row: _distinct(np.frombuffer(r.ids, f"<u{r.width}").astype(np.int64), stats) for r in found.collect()}
+
+    def rows_of(numbers) -> DataFrame:
+        return F.broadcast(spark.createDataFrame(pa.table({"row": pa.array(numbers, pa.int64())})))
+
+    def write_pieces(last: bool = False) -> None:
+        pieces = [(p[0], p[1], p[2], p[5], p[6]) for c in chains for p in c.filler.take(last)]
+        if pieces:
+            names = [c.split()[0] for c in PLACED.split(", ")]
+            columns = {c: pa.array(v, pa.int64()) for c, v in zip(names, zip(*pieces, strict=True), strict=True)}
+            placed.append(scratch.write(spark.createDataFrame(pa.table(columns))))
+
+    seeds: dict[int, np.ndarray] = {}
+    while n_docs > shard_docs or n_ids > shard_ids and n_docs > 1:
+        opened = [c.seed for c in chains if c.seed is not None]
+        more = max(1, min(CHAINS, n_ids // (AHEAD * window))) - len(opened)
+        fresh = terms_of(unplaced.orderBy("row").limit(more)) if more > 0 else {}
+        asked = [(s, seeds[s]) for s in opened] + sorted(fresh.items())
+        tasks = max(spark.sparkContext.defaultParallelism, n_docs // (8 * shard_docs))
+        listed = unplaced.repartition(tasks, "row").sortWithinPartitions("row").mapInArrow(_lists(asked, stats, LISTED_WINDOWS * window, shard_docs, shard_ids), LISTED)
+        best = Window.partitionBy("seed").orderBy(F.desc("score"), "row")
+        listed = listed.withColumn("sum", F.sum("n").over(best.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("sum") - F.col("n") < LISTED_WINDOWS * window)
+        lists: dict[int, list] = {}
+        for r in listed.select("seed", "score", "row", "n").orderBy("seed", F.desc("score"), "row").collect():
+            lists.setdefault(r.seed, []).append((r.row, r.n))
+        length = {r.row: r.n for r in unplaced.join(rows_of(list(fresh)), "row").select("row", (F.octet_length("ids") / F.col("width")).cast("long").alias("n")).collect()} if fresh else {}
+        taken: set[int] = set()
+        for c in [c for c in chains if c.seed is not None]:
+            c.follow(lists.get(c.seed, ()), taken)
+        idle = [c for c in chains if c.seed is None]
+        for s in sorted(fresh):
+            if s not in taken:
+                if not idle:
+                    chains.append(Chain(window, len(chains)))
+                    idle.append(chains[-1])
+                c = idle.pop()
+                taken.add(s)
+                c.place(s, length[s])
+                if c.seed is not None:
+                    c.follow(lists.get(s, ()), taken)
+        write_pieces()
+        opened = {c.seed for c in chains if c.seed is not None}
+        seeds = {s: t for s, t in (seeds | fresh).items() if s in opened}
+        if new := [s for s in opened if s not in seeds]:
+            seeds |= terms_of(unplaced.join(rows_of(new), "row", "left_semi"))
+        rest = scratch.write(unplaced.join(rows_of(list(taken)), "row", "left_anti"))
+        if hasattr(unplaced, "scratch_path"):
+            scratch.drop(unplaced)
+        unplaced = rest
+        left = rest.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("ids") / F.col("width")).cast("long").alias("ids")).first()
+        n_docs, n_ids = left.docs, left.ids or 0
+    held = sorted(unplaced.collect(), key=lambda r: r.row)
+    _finish(chains, window, [r.row for r in held], [np.frombuffer(r.ids, f"<u{r.width}").astype(np.int64) for r in held], seeds, stats)
+    write_pieces(last=True)
+    if not placed:
+        return spark.createDataFrame([], PIECES)
+    every = placed[0]
+    for p in placed[1:]:
+        every = every.unionByName(p)
+    grouped = every.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
+    return tokens.join(grouped, "row").select("doc_id", "width", "ids", "pieces").mapInArrow(_cut, PIECES)

@@ -351,3 +351,20 @@ def test_empty_tables(spark):
         quality.score(spark, docs, labels), neighbours.nearest(spark, spark.createDataFrame([], "vec_id long, embedding array<float>")),
     ):
         assert out.count() == 0
+
+
+def test_packing_finds_neighbours_in_other_shards(spark):
+    r = random.Random(12)
+    words = ["".join(r.choice("bcdfghklmn") for _ in range(6)) for _ in range(4000)]
+    first = [" ".join(r.sample(words, 12)) for _ in range(40)]
+    pairs = first + [" ".join(r.sample(t.split(), 12)) for t in first]  # the copy of each is 40 rows away
+    want, _ = library(pairs)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(pairs)], DOCS).coalesce(1)
+    rows = packing.pack(spark, docs, vocabulary(), window=2 * max(map(len, want)), shard_docs=10).collect()
+    assert sum(r.length for r in rows) == sum(len(w) + 1 for w in want)
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, set()).add(r.doc_id % 40)
+        held.setdefault(("both", r.sequence_id), set()).add(r.doc_id)
+    together = {i for s, d in held.items() if isinstance(s, tuple) for i in range(40) if {i, i + 40} <= d}
+    assert len(together) >= 20
