@@ -7,7 +7,8 @@ the largest one and the sum of those that matter give the document's score throu
 regression, and runs of probable tokens give the offending offsets (in characters).
 
 Defined results: null and empty texts have no tokens and the score of a text without evidence; without
-labelled rows of both kinds every score is 0. The sample has at most ``sample`` documents of each label.
+labelled rows of both kinds every score is 0. The sample has at most ``sample`` documents of each label
+and is weighted back to the labels' shares in the table.
 """
 
 from __future__ import annotations
@@ -138,13 +139,14 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(evidence @ self.document, -30, 30))) if self.learned else np.zeros(len(evidence))
 
 
-def telling(seen: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+def telling(seen: np.ndarray, toxic: int, clean: int, odds: float = 1.0) -> np.ndarray:
     """Which forms mark toxic documents: met almost only there (columns: toxic and other documents that
-    have the form), and too often for chance by the log likelihood ratio against the base rate."""
+    have the form), and too often for chance by the log likelihood ratio against the base rate. ``odds``:
+    how many times more documents of the table each other document stands for than each toxic one."""
     yes, n, base = seen[:, 0], seen.sum(1), toxic / (toxic + clean)
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = yes * np.log(yes / n / base) + np.nan_to_num((n - yes) * np.log((n - yes) / n / (1 - base)))
-    return (yes > 0.8 * n) & (yes > base * n) & (np.nan_to_num(ratio) > SIGNIFICANT)
+    return (yes > 0.8 * (yes + odds * (n - yes))) & (yes > base * n) & (np.nan_to_num(ratio) > SIGNIFICANT)
 
 
 def segments(lengths: np.ndarray, most: int = SEGMENT) -> np.ndarray:
@@ -168,28 +170,39 @@ def originals(tokens: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def train(found: list[str], toxic: np.ndarray) -> Field:
-    """A field learned from all documents. The documents' regression is learned from what fields of one
+def stands_for(toxic: np.ndarray, totals: tuple[int, int] | None) -> np.ndarray:
+    """Weight of each document of a sample, 1 on average, that brings the labels back to their ``totals``
+    (others, toxic) in the table."""
+    if totals is None or not min(totals) or not toxic.any() or toxic.all():
+        return np.ones(len(toxic))
+    w = np.where(toxic, totals[1] / toxic.sum(), totals[0] / (~toxic).sum())
+    return w / w.mean()
+
+
+def train(found: list[str], toxic: np.ndarray, totals: tuple[int, int] | None = None) -> Field:
+    """A field learned from all documents, weighted so that the labels have the shares of ``totals``. The documents' regression is learned from what fields of one
     half say of the other half, as a field knows its own words too well."""
     if not toxic.any() or toxic.all():
         return Field()
+    weight = stands_for(toxic, totals)
     half = np.arange(len(found)) % 2 == 0
     x = np.zeros((len(found), 3))
     for own in (half, ~half):
-        field = tagger([found[k] for k in np.flatnonzero(own)], toxic[own])
+        field = tagger([found[k] for k in np.flatnonzero(own)], toxic[own], weight[own])
         x[~own] = field.evidence(*field.probabilities([found[k] for k in np.flatnonzero(~own)]))
-    field, w = tagger(found, toxic), np.zeros(3)
+    field, w = tagger(found, toxic, weight), np.zeros(3)
     for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (q * (1 - q))[:, None]).T @ x + np.eye(3) * 1e-1
-        w -= np.linalg.solve(h, x.T @ (q - toxic) + 1e-1 * w)
+        h = (x * (weight * q * (1 - q))[:, None]).T @ x + np.eye(3) * 1e-1
+        w -= np.linalg.solve(h, x.T @ (weight * (q - toxic)) + 1e-1 * w)
     field.document, field.learned = w, True
     return field
 
 
-def tagger(found: list[str], toxic: np.ndarray, rounds: int = 25) -> Field:
-    """Full-batch adaptive gradient on the log likelihood of the token labels."""
+def tagger(found: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 25) -> Field:
+    """Full-batch adaptive gradient on the weighted log likelihood of the token labels."""
     field = Field()
+    odds = float(weight[~toxic].mean() / weight[toxic].mean()) if toxic.any() and not toxic.all() else 1.0
     known: dict[str, int] = {}
     tokens = [np.array([known.setdefault(w, len(known)) for w in t.split()], np.int64) for t in found]
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
@@ -202,17 +215,18 @@ def tagger(found: list[str], toxic: np.ndarray, rounds: int = 25) -> Field:
     for t, y in zip((tokens[k] for k in np.flatnonzero(first_of)), toxic[first_of], strict=True):
         if len(t):
             seen[np.unique(np.concatenate([own[w] for w in np.unique(t)])), 0 if y else 1] += 1
-    strong = telling(np.maximum(seen, 1e-9), int(toxic[first_of].sum()), int((~toxic[first_of]).sum()))
+    strong = telling(np.maximum(seen, 1e-9), int(toxic[first_of].sum()), int((~toxic[first_of]).sum()), odds)
     strong_word = np.bincount(word_of, strong[form_of], len(own)) > 0
     first = np.array([x[0] for x in own])
     weights = [np.zeros(len(form_at)) for _ in range(3)]
     token = np.concatenate(tokens)
     labels = (strong_word[token] & np.repeat(toxic, lengths)).astype(float)
+    each = np.repeat(weight, lengths)
     inner = np.ones(len(token), bool)
     inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
     i = np.flatnonzero(inner)
     pair = np.zeros((2, 2))
-    np.add.at(pair, (labels[i - 1].astype(int), labels[i].astype(int)), 1.0)
+    np.add.at(pair, (labels[i - 1].astype(int), labels[i].astype(int)), each[i])
     field.moves = np.log((pair + 1) / (pair + 1).sum(1, keepdims=True))
     cut = segments(lengths)
     past = [np.full(len(form_at), 1e-6) for _ in range(3)]
@@ -220,7 +234,7 @@ def tagger(found: list[str], toxic: np.ndarray, rounds: int = 25) -> Field:
         score = np.bincount(word_of, weights[0][form_of], len(own))[token]
         score[i] += weights[1][first][token[i - 1]]
         score[i - 1] += weights[2][first][token[i]]
-        wrong = marginals(score, cut, field.moves) - labels
+        wrong = (marginals(score, cut, field.moves) - labels) * each
         steps = (
             np.bincount(form_of, np.bincount(token, wrong, len(own))[word_of], len(form_at)),
             np.bincount(first, np.bincount(token[i - 1], wrong[i], len(own)), len(form_at)),
@@ -241,10 +255,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """Learn from labelled rows whose crc32 remainder by 4 is not 2."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(remainder(F.col("doc_id"), 4) != 2)
+    counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [bounded_sample(known.filter(F.col("toxic") == y), "doc_id", sample) for y in (0, 1)]
     rows = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.text or ""))
-    return train([r.text or "" for r in rows], np.array([r.toxic == 1 for r in rows], bool))
+    return train([r.text or "" for r in rows], np.array([r.toxic == 1 for r in rows], bool), (counts.get(0, 0), counts.get(1, 0)))
 
 
 def offending(text: str, p: np.ndarray, least: float = 0.5) -> list[tuple[int, int]]:

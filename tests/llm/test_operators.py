@@ -368,3 +368,15 @@ def test_packing_finds_neighbours_in_other_shards(spark):
         held.setdefault(("both", r.sequence_id), set()).add(r.doc_id)
     together = {i for s, d in held.items() if isinstance(s, tuple) for i in range(40) if {i, i + 40} <= d}
     assert len(together) >= 20
+
+
+def test_toxicity_undoes_the_sampling():
+    toxic = np.array([True] * 10 + [False] * 20)
+    w = toxicity.stands_for(toxic, (800, 100))
+    assert np.isclose(w.mean(), 1) and np.isclose(w[~toxic].sum() / w[toxic].sum(), 8)
+    seen = np.array([[40.0, 5.0], [40.0, 1e-9]])  # 40 of 50 toxic, once the others count eight times
+    assert toxicity.telling(seen, 100, 100, 8.0).tolist() == [False, True] and toxicity.telling(seen, 100, 100).all()
+    r = random.Random(5)
+    own = [" ".join(r.choice(["ab", "cd", "ef", "gh"]) for _ in range(30)) + (" zzvile" if y and i % 2 else "") for i, y in enumerate(toxic.tolist() * 8)]
+    mean = [toxicity.train(own, np.tile(toxic, 8), t).scores(np.array([[1.0, -10.0, 0.0]]))[0] for t in ((160, 80), (16000, 80))]
+    assert mean[1] < mean[0]
