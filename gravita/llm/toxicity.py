@@ -14,6 +14,7 @@ and is weighted back to the labels' shares in the table.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ THRESHOLD = 0.3
 REMEMBERED, BLOCK, MATTERS = 500_000, 16 << 20, 0.05
 #: Log likelihood ratio from which a form is no accident.
 SIGNIFICANT = 10.0
+#: Word pairs by which copies among the sample are known.
+SKETCH = 32
 #: Words in a chain while learning. All words are learned from; scoring never cuts a text.
 SEGMENT = 400
 _WORD = re.compile(r"\S+")
@@ -158,15 +161,18 @@ def segments(lengths: np.ndarray, most: int = SEGMENT) -> np.ndarray:
 
 
 def originals(tokens: list[np.ndarray]) -> np.ndarray:
-    """Documents that share none of their four least word pairs with an earlier one: of copies, whose
-    words would count as often as they were copied, the first."""
-    met: set[int] = set()
+    """Documents that share no more than half of their least word pairs with any one earlier original: of
+    copies, whose words would count as often as they were copied, the first."""
+    met: dict[int, list[int]] = {}
     out = np.zeros(len(tokens), bool)
     for i, t in enumerate(tokens):
         pairs = (t[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ t[1:].astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-        least = np.unique(pairs)[:4].tolist() or [-1 - int(t.sum())]
-        out[i] = met.isdisjoint(least)
-        met.update(least)
+        least = np.unique(pairs)[:SKETCH].tolist() or [-1 - int(t.sum())]
+        shared = Counter(k for p in least for k in met.get(p, ()))
+        out[i] = 2 * max(shared.values(), default=0) <= len(least)
+        if out[i]:
+            for p in least:
+                met.setdefault(p, []).append(i)
     return out
 
 

@@ -380,3 +380,11 @@ def test_toxicity_undoes_the_sampling():
     own = [" ".join(r.choice(["ab", "cd", "ef", "gh"]) for _ in range(30)) + (" zzvile" if y and i % 2 else "") for i, y in enumerate(toxic.tolist() * 8)]
     mean = [toxicity.train(own, np.tile(toxic, 8), t).scores(np.array([[1.0, -10.0, 0.0]]))[0] for t in ((160, 80), (16000, 80))]
     assert mean[1] < mean[0]
+
+
+def test_toxicity_copies_share_most_pairs_with_one_document():
+    r = np.random.default_rng(4)
+    docs = [np.concatenate([np.arange(12), r.integers(20, 5000, 80)]) for _ in range(60)]  # few pairs in common, no copies
+    near = docs[0].copy()
+    near[40] = 15
+    assert toxicity.originals([*docs, near, docs[5].copy()]).tolist() == [True] * 60 + [False, False]
