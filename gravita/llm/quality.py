@@ -6,7 +6,7 @@ summed in time linear in the inputs by half of (sum squared minus sum of squares
 
 Defined results: null and empty texts have no words and zero statistics; a null n_chars counts as the
 text's length; without labelled rows of both kinds every score is 1. The sample has at most ``sample``
-documents of each label.
+documents of each label and is weighted back to the labels' shares in the table.
 """
 
 from __future__ import annotations
@@ -97,14 +97,16 @@ class Machine:
         squares = np.bincount(row, (self.v[col] ** 2).sum(1) * x * x, n)
         return self.w0 + linear + ((sums**2).sum(1) - squares) / 2, sums
 
-    def train(self, parts, y: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 2e-4) -> None:
-        stats = parts[3]
-        self.mean, self.scale = stats.mean(0), stats.std(0) + 1e-6
+    def train(self, parts, y: np.ndarray, weight: np.ndarray | None = None, rounds: int = 150, rate: float = 0.1, decay: float = 2e-4) -> None:
+        """``weight``: how much each document counts, 1 on average."""
+        stats, weight = parts[3], np.ones(len(y)) if weight is None else weight
+        self.mean = np.average(stats, 0, weight)
+        self.scale = np.sqrt(np.average((stats - self.mean) ** 2, 0, weight)) + 1e-6
         row, col, x = self.joined(*parts)
         n, past_w, past_v, past_0 = len(y), np.full_like(self.w, 1e-8), np.full_like(self.v, 1e-8), 1e-8
         for _ in range(rounds):
             m, sums = self.margin(row, col, x, n)
-            g = (1 / (1 + np.exp(-np.clip(m, -30, 30))) - y) / n
+            g = (1 / (1 + np.exp(-np.clip(m, -30, 30))) - y) * weight / n
             gw = np.bincount(col, g[row] * x, len(self.w)) + decay * self.w
             own = np.bincount(col, g[row] * x * x, len(self.w))
             gv = np.stack([np.bincount(col, g[row] * x * sums[row, f], len(self.w)) for f in range(RANK)], 1) - own[:, None] * self.v + decay * self.v
@@ -121,6 +123,12 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
 
 
+def stands_for(y: np.ndarray, counts: dict[int, int]) -> np.ndarray:
+    """Weight of each document of a sample, 1 on average, that brings the labels back to their counts in the table."""
+    w = np.select([y == k for k in counts], [n / max((y == k).sum(), 1) for k, n in counts.items()])
+    return w / w.mean()
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Learn from labelled rows whose crc32 remainder by 5 is not 0."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -132,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     machine = Machine()
     y = np.array([float(r.quality) for r in rows])
     if len(counts) == 2:
-        machine.train(inputs([r.text or "" for r in rows], [r.n_chars for r in rows], Words()), y)
+        machine.train(inputs([r.text or "" for r in rows], [r.n_chars for r in rows], Words()), y, stands_for(y, counts))
     return machine
 
 

@@ -388,3 +388,11 @@ def test_toxicity_copies_share_most_pairs_with_one_document():
     near = docs[0].copy()
     near[40] = 15
     assert toxicity.originals([*docs, near, docs[5].copy()]).tolist() == [True] * 60 + [False, False]
+
+
+def test_quality_undoes_the_sampling(spark):
+    docs = spark.createDataFrame([(i, "one text for all", "en", "s", 16) for i in range(400)], DOCS)
+    labels = spark.createDataFrame([(i, int(i % 10 > 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    parts = quality.inputs(["one text for all"], [16], quality.Words())
+    whole, sampled = (quality.fit(docs, labels, most).scores(parts, 1)[0] for most in (400, 20))
+    assert abs(whole - 0.9) < 0.05 and abs(sampled - whole) < 0.05
