@@ -1,21 +1,23 @@
 """Packing by lexical retrieval.
 
 Documents become token ids once, in a table in the shared folder. Document frequencies and the mean
-length are counted over all documents. Windows are filled in many chains: a seed document is followed by
-its best unused neighbours in the whole table until the window is full; the document that is cut there
-seeds the chain's next window with what is left of it.
-
-The chains go on in rounds. In a round every task reads the unplaced documents in shards of bounded size,
-builds a BM25 inverted index over a shard and asks it for every open window's seed, so that each seed meets
-each unplaced document; of each task and seed only the best documents that would fill four windows are kept.
-The lists are merged, and the driver lets the chains take from them in order. A chain whose list was used
-up by others asks again in the next round. What fits one shard at the end is finished on the driver.
-Windows that are still open are then joined, and the last is cut into sequences whose lengths are powers
-of two, so no sequence needs padding. The work grows with the windows times the documents: that is what asking for all neighbours costs.
-
-Defined results: null text is empty and has the end id alone; rows that repeat a doc_id are packed one by
-one; ties between neighbours go to the earlier row; an empty table gives an empty result. A sequence's
-id holds its chain and its number there.
+length are counted over all documents. BM25 weights of a document's ids, projected to a few numbers, place
+it on a shelf of a kd-tree that is fitted on a bounded sample; rows are dealt to tasks by shelf, so that
+related documents meet whatever files they came from. A task works along its shelves in shards of bounded
+size: it builds a BM25 inverted index over a shard, a seed document is followed by its best unused
+neighbours there until the window is full, and the document that is cut at the window's end seeds the next
+with what is left of it. A shelf that holds more than a task's share (copies of one text, say) is dealt to
+several tasks by row.
+
+Every id is placed exactly once. The last window of a task is cut into sequences whose lengths are powers
+of two, so no sequence needs padding. Work and memory follow the rows: shards have a fixed size, and a
+seed asks the shard on its own shelf only.
+
+Defined results: null text is empty and has the end id alone; rows that repeat a doc_id or whose doc_id is
+null are packed one by one; very long texts are cut over as many windows as they need, and one beyond a
+shard's size is a shard by itself; ties between neighbours go to the earlier row; an empty table gives an
+empty result; other columns, whatever their names, are not read. A sequence's id holds its task and its
+number there.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, batch, numbered
@@ -34,9 +37,9 @@ WINDOW, END = 2048, 1
 #: Documents and ids in a shard at most (a longer document is a shard by itself); BM25's constants.
 SHARD_DOCS, SHARD_IDS = 1024, 2_000_000
 K1, B = 1.2, 0.75
-#: Chains at most, windows' worth of unplaced ids for each new one, and of ids in a list (a chain whose
-#: list is used up asks again).
-CHAINS, AHEAD, LISTED_WINDOWS = 4096, 4, 4
+#: Rows the shelves are fitted on (expected, chosen by a hash of the row), rows of them on a shelf at least,
+#: numbers a document is projected to, and ids a task gets.
+SAMPLE, SHELF, DIMS, TASK_IDS = 8192, 8, 16, 4_000_000
 
 
 def _encode(path: str, end: int):
@@ -58,19 +61,39 @@ def _encode(path: str, end: int):
 
 def _ids(b: pa.RecordBatch):
     for width, raw in zip(b.column("width").to_pylist(), b.column("ids"), strict=True):
-        yield np.frombuffer(raw.as_buffer(), f"<u{width}").astype(np.int64)
+        yield np.frombuffer(raw.as_buffer(), f"<u{width}")
+
+
+def _terms(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, id and count of every distinct id of every document, in order."""
+    size = np.fromiter(map(len, docs), np.int64, len(docs))
+    keys = np.repeat(np.arange(len(docs), dtype=np.int64) << 32, size)
+    if len(keys):
+        keys |= np.concatenate(docs)
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    found = keys[first]
+    return found >> 32, found & 0xFFFFFFFF, np.diff(np.append(first, len(keys)))
+
+
+def _parts(docs: list[np.ndarray], most: int = 1 << 20):
+    """Runs of documents of about ``most`` ids or one document."""
+    begin = held = 0
+    for end, d in enumerate(docs, 1):
+        held += len(d)
+        if held >= most or end == len(docs):
+            yield begin, docs[begin:end]
+            begin, held = end, 0
 
 
 def _counts(batches):
     """Documents that hold each id; under -1 the documents, under -2 all ids."""
     held, docs, total = np.zeros(1 << 16, np.int64), 0, 0
     for b in batches:
-        for ids in _ids(b):
-            own = np.unique(ids)
-            if own[-1] >= len(held):
-                held = np.concatenate([held, np.zeros(int(own[-1]) + 1, np.int64)])
-            held[own] += 1
-            docs, total = docs + 1, total + len(ids)
+        for _, part in _parts(list(_ids(b))):
+            own = np.bincount(_terms(part)[1], minlength=len(held))
+            held = np.concatenate([held, np.zeros(max(len(own) - len(held), 0), np.int64)]) + own
+            docs, total = docs + len(part), total + sum(map(len, part))
     some = np.flatnonzero(held)
     yield batch(
         pa.schema([("id", pa.int64()), ("n", pa.int64())]), np.concatenate([some, [-1, -2]]), np.concatenate([held[some], [docs, total]])
@@ -87,41 +110,95 @@ class Bm25:
         for i, n in counts.items():
             if i >= 0:
                 self.idf[i] = max(0.0, np.log((docs - n + 0.5) / (n + 0.5)))
+        self.signs = np.random.default_rng(DIMS).integers(0, 2, (DIMS, len(self.idf))).astype(np.float32) * 2 - 1
 
 
 class Shard:
     """An inverted index over some documents' ids."""
 
     def __init__(self, docs: list[np.ndarray], stats: Bm25):
-        terms, times = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True)
-        self.terms = [t[stats.idf[t] > 0] for t in terms]
-        length = np.fromiter(map(len, docs), np.float32, len(docs))
-        doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(t) for t in terms])
-        term, tf = np.concatenate(terms), np.concatenate(times).astype(np.float32)
+        doc, term, times = _terms(docs)
         worth = stats.idf[term]
-        keep = worth > 0
-        doc, term, tf, worth = doc[keep], term[keep], tf[keep], worth[keep]
-        score = worth * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / stats.mean))
+        some = worth > 0
+        doc, term, tf, worth = doc[some], term[some], times[some].astype(np.float32), worth[some]
+        length = np.fromiter(map(len, docs), np.float32, len(docs))
+        score = worth * tf * np.float32(K1 + 1) / (tf + np.float32(K1) * (np.float32(1 - B) + np.float32(B) * length[doc] / np.float32(stats.mean)))
+        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, len(docs))))
         order = np.argsort(term, kind="stable")
-        self.doc, self.score = doc[order], score[order]
-        self.known, first, n = np.unique(term[order], return_index=True, return_counts=True)
-        self.first, self.n = first, n
+        self.doc, self.score = doc[order].astype(np.int32), score[order]
+        n = np.bincount(term, minlength=len(stats.idf))
+        self.n, self.first = n, np.cumsum(n) - n
         self.size = len(docs)
 
     def scores(self, i: int) -> np.ndarray:
         """BM25 of every document for the distinct ids of document i."""
-        return self.scores_of(self.terms[i])
-
-    def scores_of(self, own: np.ndarray) -> np.ndarray:
-        """BM25 of every document for some distinct ids."""
-        at = np.searchsorted(self.known, own)
-        at = at[(at < len(self.known)) & (self.known[np.minimum(at, len(self.known) - 1)] == own)] if len(self.known) else at[:0]
-        n = self.n[at]
+        own = self.terms[i]
+        n = self.n[own]
         ends = np.cumsum(n)
-        hit = np.repeat(self.first[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
+        hit = np.repeat(self.first[own] - (ends - n), n)
+        hit += np.arange(len(hit))
         return np.bincount(self.doc[hit], self.score[hit], self.size)
 
 
+class Shelves:
+    """A kd-tree over projected documents; its leaves, from left to right, are the shelves. Each shelf has
+    its first task and how many tasks share it, in proportion to the sample's rows on it."""
+
+    def __init__(self, sample: np.ndarray, tasks: int):
+        self.axis, self.cut, self.below = [], [], []
+        leaves: list[tuple[int, int]] = []
+        least = max(SHELF, len(sample) // (4 * tasks))
+
+        def grow(rows: np.ndarray) -> int:
+            at = len(self.axis)
+            spread = np.ptp(sample[rows], axis=0) if len(rows) else np.zeros(DIMS)
+            axis = int(spread.argmax())
+            self.axis.append(axis)
+            self.cut.append(0.0)
+            self.below.append((-1, -1))
+            if len(rows) >= 2 * least and spread[axis] > 0:
+                x = sample[rows, axis]
+                cut = np.median(x)
+                cut = cut if (x < cut).any() else x[x > x.min()].min()
+                self.cut[at] = float(cut)
+                self.below[at] = (grow(rows[x < cut]), grow(rows[x >= cut]))
+            else:
+                leaves.append((at, len(rows)))
+            return at
+
+        grow(np.arange(len(sample)))
+        self.axis, self.cut, self.below = np.array(self.axis), np.array(self.cut, np.float32), np.array(self.below)
+        share = np.array([n for _, n in leaves], float) + 1e-9
+        ends = np.cumsum(share) / share.sum() * tasks
+        begins = np.concatenate([[0.0], ends[:-1]])
+        self.shelf = np.full(len(self.axis), -1)
+        self.shelf[[at for at, _ in leaves]] = np.arange(len(leaves))
+        self.first = np.minimum(begins.astype(int), tasks - 1)
+        self.shared = np.maximum(np.round(ends - begins).astype(int), 1)
+        self.shared = np.minimum(self.shared, tasks - self.first)
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shelf of each document, and its place there."""
+        at = np.zeros(len(x), int)
+        while (inner := np.flatnonzero(self.below[at, 0] >= 0)).size:
+            node = at[inner]
+            right = x[inner, self.axis[node]] >= self.cut[node]
+            at[inner] = self.below[node, right.astype(int)]
+        return self.shelf[at], x[np.arange(len(x)), self.axis[at]]
+
+
+def projected(docs: list[np.ndarray], stats: Bm25) -> np.ndarray:
+    """DIMS numbers of each document: its ids' BM25 weights, brought to length one, under random signs."""
+    out = np.zeros((len(docs), DIMS), np.float32)
+    for begin, part in _parts(docs):
+        doc, term, times = _terms(part)
+        weight = stats.idf[term] * (times * (K1 + 1) / (times + K1)).astype(np.float32)
+        norm = np.sqrt(np.maximum(np.bincount(doc, weight**2, len(part)), 1e-12))
+        for k in range(DIMS):
+            out[begin : begin + len(part), k] = np.bincount(doc, weight * stats.signs[k][term], len(part)) / norm
+    return out
+
+
 class Filler:
     """Fills windows one after another and keeps the pieces."""
 
@@ -180,125 +257,58 @@ def fill_shard(filler: Filler, ids: list, docs: list[np.ndarray], stats: Bm25) -
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _PIECES = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
-LISTED = "seed long, score double, row long, n long"
-_LISTED = pa.schema([("seed", pa.int64()), ("score", pa.float64()), ("row", pa.int64()), ("n", pa.int64())])
-PLACED = "row long, start long, length long, sequence_id long, offset long"
+PLACED = "task int, shelf int, place float, row long, doc_id long, width int, ids binary"
 
 
-def _distinct(ids: np.ndarray, stats: Bm25) -> np.ndarray:
-    own = np.unique(ids)
-    return own[stats.idf[own] > 0]
+def _project(stats: Bm25):
+    def run(batches):
+        for b in batches:
+            x = projected(list(_ids(b)), stats)
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float32()))], names=["x"])
 
+    return run
 
-def _filling(window: int, seed, score, row, n) -> list[np.ndarray]:
-    """Of each seed's documents, best first, those that begin inside a window."""
-    order = np.lexsort((row, -score, seed))
-    seed, score, row, n = seed[order], score[order], row[order], n[order]
-    before = np.cumsum(n) - n
-    first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])) if len(seed) else np.zeros(0, int)
-    keep = before - np.repeat(before[first], np.diff(np.append(first, len(seed)))) < window
-    return [seed[keep], score[keep], row[keep], n[keep]]
 
+def _place(stats: Bm25, shelves: Shelves):
+    def run(batches):
+        for b in batches:
+            shelf, place = shelves.place(projected(list(_ids(b)), stats))
+            row = b.column("row").to_numpy()
+            mixed = (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            task = shelves.first[shelf] + mixed % shelves.shared[shelf]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(task, pa.int32()), pa.array(shelf, pa.int32()), pa.array(place, pa.float32()), *(b.column(c) for c in ("row", "doc_id", "width", "ids"))],
+                names=[c.split()[0] for c in PLACED.split(", ")],
+            )
 
-def _lists(seeds: list[tuple[int, np.ndarray]], stats: Bm25, window: int, shard_docs: int, shard_ids: int):
-    """The best of a task's documents for each seed, until they fill a window."""
+    return run
 
-    def shard(rows: list[int], docs: list[np.ndarray]):
-        index, row, n = Shard(docs, stats), np.array(rows), np.fromiter(map(len, docs), np.int64, len(docs))
-        found = []
-        for seed, terms in seeds:
-            score = index.scores_of(terms)
-            best = np.argsort(-score, kind="stable")
-            best = best[row[best] != seed]
-            size = np.cumsum(n[best])
-            best = best[: int(np.searchsorted(size, window)) + 1]
-            found.append((np.full(len(best), seed), score[best], row[best], n[best]))
-        return [np.concatenate(c) for c in zip(*found, strict=True)]
+
+def _pack(stats: Bm25, window: int, shard_docs: int, shard_ids: int):
+    def out(pieces: list[list]) -> pa.RecordBatch:
+        return batch(_PIECES, *list(zip(*pieces, strict=True))[:7])
 
     def run(batches):
-        held, rows, docs, size = None, [], [], 0
+        filler = Filler(window, TaskContext.get().partitionId() << 40)
+        ids, docs, held = [], [], 0
         for b in batches:
-            for row, ids in zip(b.column("row").to_pylist(), _ids(b), strict=True):
-                rows.append(row)
-                docs.append(ids)
-                size += len(ids)
-                if len(docs) >= shard_docs or size >= shard_ids:
-                    more = shard(rows, docs)
-                    held = _filling(window, *(more if held is None else map(np.concatenate, zip(held, more, strict=True))))
-                    rows, docs, size = [], [], 0
+            for doc_id, tokens in zip(b.column("doc_id").to_pylist(), _ids(b), strict=True):
+                ids.append(doc_id)
+                docs.append(tokens)
+                held += len(tokens)
+                if len(docs) >= shard_docs or held >= shard_ids:
+                    fill_shard(filler, ids, docs, stats)
+                    ids, docs, held = [], [], 0
+                    if done := filler.take():
+                        yield out(done)
         if docs:
-            more = shard(rows, docs)
-            held = _filling(window, *(more if held is None else map(np.concatenate, zip(held, more, strict=True))))
-        if held is not None:
-            yield batch(_LISTED, *held)
+            fill_shard(filler, ids, docs, stats)
+        if done := filler.take(last=True):
+            yield out(done)
 
     return run
 
 
-class Chain:
-    """A filler, and the row that seeds its open window. Only lengths are known here."""
-
-    def __init__(self, window: int, number: int):
-        self.filler, self.seed = Filler(window, number << 40), None
-
-    def place(self, row: int, n: int) -> None:
-        before, at, ids = self.filler.sequence, 0, np.broadcast_to(np.uint8(0), n)
-        while at < n:
-            at = self.filler.add(row, ids, at)
-        if not self.filler.used:
-            self.seed = None
-        elif self.seed is None or self.filler.sequence != before:
-            self.seed = row
-
-    def follow(self, ranked, taken: set[int]) -> None:
-        """Take the best documents that are left until the seed's window is full."""
-        seed = self.seed
-        for row, n in ranked:
-            if self.seed is None or self.seed != seed:
-                return
-            if row not in taken:
-                taken.add(row)
-                self.place(row, n)
-
-
-def _finish(chains: list[Chain], window: int, rows: list[int], docs: list[np.ndarray], seeds: dict[int, np.ndarray], stats: Bm25) -> None:
-    """Place documents that fit one shard: first in the open windows, then in one more chain. Windows that stay open are joined."""
-    taken: set[int] = set()
-    if docs:
-        index, length = Shard(docs, stats), list(map(len, docs))
-        terms = seeds | {r: _distinct(d, stats) for r, d in zip(rows, docs, strict=True)}
-        for c in chains:
-            while c.seed is not None and len(taken) < len(docs):
-                best = np.argsort(-index.scores_of(terms[c.seed]), kind="stable")
-                c.follow(((rows[k], length[k]) for k in best), taken)
-        left = [k for k, r in enumerate(rows) if r not in taken]
-        if left:
-            chains.append(Chain(window, len(chains)))
-            fill_shard(chains[-1].filler, [rows[k] for k in left], [docs[k] for k in left], stats)
-    last = Filler(window, len(chains) << 40)
-    for c in chains:
-        for row, at, n, *_ in (p for p in c.filler.pieces if p[5] == c.filler.sequence):
-            ids, stop = np.broadcast_to(np.uint8(0), at + n), at + n
-            while at < stop:
-                at = last.add(row, ids, at)
-        c.filler.pieces = [p for p in c.filler.pieces if p[5] < c.filler.sequence]
-    chains.append(Chain(window, len(chains)))
-    chains[-1].filler = last
-
-
-def _cut(batches):
-    """Pieces of the documents, with the sums of their ids."""
-    for b in batches:
-        out = []
-        for doc_id, ids, pieces in zip(b.column("doc_id").to_pylist(), _ids(b), b.column("pieces").to_pylist(), strict=True):
-            raw = ids.astype("<u4")
-            for p in pieces:
-                part = raw[p["start"] : p["start"] + p["length"]]
-                out.append((doc_id, p["start"], p["length"], zlib.crc32(part), len(ids), p["sequence_id"], p["offset"]))
-        if out:
-            yield batch(_PIECES, *zip(*out, strict=True))
-
-
 def pack(
     spark: SparkSession,
     docs: DataFrame,
@@ -307,77 +317,20 @@ def pack(
     end: int = END,
     shard_docs: int = SHARD_DOCS,
     shard_ids: int = SHARD_IDS,
+    task_ids: int = TASK_IDS,
 ) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row for each piece."""
     scratch = Scratch(spark, "packing")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     tokens = numbered(scratch, rows.mapInArrow(_encode(path, end), "doc_id long, width int, ids binary"), "row")
-    counts = tokens.mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("width", "ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     known = {r.id: r.n for r in counts.collect()}  # one row for each id of the vocabulary
-    stats = Bm25(known)
-    unplaced, n_docs, n_ids = tokens.select("row", "width", "ids"), known.get(-1, 0), known.get(-2, 0)
-    chains: list[Chain] = []
-    placed: list[DataFrame] = []
-
-    def terms_of(found: DataFrame) -> dict[int, np.ndarray]:
-        return {r.row: _distinct(np.frombuffer(r.ids, f"<u{r.width}").astype(np.int64), stats) for r in found.collect()}
-
-    def rows_of(numbers) -> DataFrame:
-        return F.broadcast(spark.createDataFrame(pa.table({"row": pa.array(numbers, pa.int64())})))
-
-    def write_pieces(last: bool = False) -> None:
-        pieces = [(p[0], p[1], p[2], p[5], p[6]) for c in chains for p in c.filler.take(last)]
-        if pieces:
-            names = [c.split()[0] for c in PLACED.split(", ")]
-            columns = {c: pa.array(v, pa.int64()) for c, v in zip(names, zip(*pieces, strict=True), strict=True)}
-            placed.append(scratch.write(spark.createDataFrame(pa.table(columns))))
-
-    seeds: dict[int, np.ndarray] = {}
-    while n_docs > shard_docs or n_ids > shard_ids and n_docs > 1:
-        opened = [c.seed for c in chains if c.seed is not None]
-        more = max(1, min(CHAINS, n_ids // (AHEAD * window))) - len(opened)
-        fresh = terms_of(unplaced.orderBy("row").limit(more)) if more > 0 else {}
-        asked = [(s, seeds[s]) for s in opened] + sorted(fresh.items())
-        tasks = max(spark.sparkContext.defaultParallelism, n_docs // (8 * shard_docs))
-        listed = unplaced.repartition(tasks, "row").sortWithinPartitions("row").mapInArrow(_lists(asked, stats, LISTED_WINDOWS * window, shard_docs, shard_ids), LISTED)
-        best = Window.partitionBy("seed").orderBy(F.desc("score"), "row")
-        listed = listed.withColumn("sum", F.sum("n").over(best.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("sum") - F.col("n") < LISTED_WINDOWS * window)
-        lists: dict[int, list] = {}
-        for r in listed.select("seed", "score", "row", "n").orderBy("seed", F.desc("score"), "row").collect():
-            lists.setdefault(r.seed, []).append((r.row, r.n))
-        length = {r.row: r.n for r in unplaced.join(rows_of(list(fresh)), "row").select("row", (F.octet_length("ids") / F.col("width")).cast("long").alias("n")).collect()} if fresh else {}
-        taken: set[int] = set()
-        for c in [c for c in chains if c.seed is not None]:
-            c.follow(lists.get(c.seed, ()), taken)
-        idle = [c for c in chains if c.seed is None]
-        for s in sorted(fresh):
-            if s not in taken:
-                if not idle:
-                    chains.append(Chain(window, len(chains)))
-                    idle.append(chains[-1])
-                c = idle.pop()
-                taken.add(s)
-                c.place(s, length[s])
-                if c.seed is not None:
-                    c.follow(lists.get(s, ()), taken)
-        write_pieces()
-        opened = {c.seed for c in chains if c.seed is not None}
-        seeds = {s: t for s, t in (seeds | fresh).items() if s in opened}
-        if new := [s for s in opened if s not in seeds]:
-            seeds |= terms_of(unplaced.join(rows_of(new), "row", "left_semi"))
-        rest = scratch.write(unplaced.join(rows_of(list(taken)), "row", "left_anti"))
-        if hasattr(unplaced, "scratch_path"):
-            scratch.drop(unplaced)
-        unplaced = rest
-        left = rest.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("ids") / F.col("width")).cast("long").alias("ids")).first()
-        n_docs, n_ids = left.docs, left.ids or 0
-    held = sorted(unplaced.collect(), key=lambda r: r.row)
-    _finish(chains, window, [r.row for r in held], [np.frombuffer(r.ids, f"<u{r.width}").astype(np.int64) for r in held], seeds, stats)
-    write_pieces(last=True)
-    if not placed:
-        return spark.createDataFrame([], PIECES)
-    every = placed[0]
-    for p in placed[1:]:
-        every = every.unionByName(p)
-    grouped = every.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
-    return tokens.join(grouped, "row").select("doc_id", "width", "ids", "pieces").mapInArrow(_cut, PIECES)
+    n_docs, n_ids, stats = known.get(-1, 0), known.get(-2, 0), Bm25(known)
+    tasks = max(1, -(-n_ids // task_ids))
+    share = min(1.0, SAMPLE / max(n_docs, 1))
+    some = tokens.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    sample = np.array([r.x for r in some.select("width", "ids").mapInArrow(_project(stats), "x array<float>").collect()], np.float32)
+    shelves = Shelves(sample.reshape(-1, DIMS), tasks)
+    placed = tokens.select("row", "doc_id", "width", "ids").mapInArrow(_place(stats, shelves), PLACED)
+    dealt = placed.repartitionById(tasks, F.col("task")).sortWithinPartitions("shelf", "place", "row")
+    return dealt.select("doc_id", "width", "ids").mapInArrow(_pack(stats, window, shard_docs, shard_ids), PIECES)
