@@ -1,8 +1,8 @@
-"""Exact allocation of sorted demands to sorted supplies, as a join of intervals.
+"""Exact allocation of sorted demands to sorted supplies, as one sweep over their ends.
 
-Within a group both sides are laid end to end, largest first; where two stretches overlap, that much goes
-from one to the other. The group is an equi-key, so the overlap is a residual condition of a hash or
-merge join.
+Within a group both sides are laid end to end, largest first. The places where a stretch of either side
+begins cut the whole into parts, each of one owner on either side, and that much goes from one to the other:
+as many rows as there are stretches, found by one sort of a group.
 """
 
 from __future__ import annotations
@@ -18,15 +18,18 @@ def _laid(rows: DataFrame, group: str, index: str, size: str, begin: str, end: s
 
 def allocate(left: DataFrame, right: DataFrame, group: str, left_index: str, right_index: str, size: str = "size") -> DataFrame:
     """(group, left_index, right_index, size). Unequal totals of a group are an error."""
-    a = _laid(left.select(group, left_index, size), group, left_index, size, "s1", "e1").drop(size)
-    b = _laid(right.select(group, right_index, size), group, right_index, size, "s2", "e2").drop(size)
+    lay = lambda rows, index: _laid(rows.select(group, index, size), group, index, size, "pos", "end")
+    a = lay(left, left_index).select(group, "pos", F.struct(left_index).alias("a"), F.lit(None).alias("b"))
+    b = lay(right, right_index).select(group, "pos", F.lit(None).alias("a"), F.struct(right_index).alias("b"))
     sums = lambda rows, name: rows.filter(F.col(size) > 0).groupBy(group).agg(F.sum(size).alias(name))
     totals = sums(left, "t1").join(sums(right, "t2"), group, "full_outer")
     ok = F.coalesce(F.col("t1"), F.lit(0)) == F.coalesce(F.col("t2"), F.lit(0))
-    ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit("Allocation totals do not reconcile")).cast("boolean"))
-    checked = totals.select(group, ok.alias("ok")).filter("ok")
-    met = a.join(b, group).filter("s1 < e2 AND s2 < e1").join(checked, group)
-    return met.select(group, left_index, right_index, (F.least("e1", "e2") - F.greatest("s1", "s2")).alias(size))
+    total = F.when(ok, F.col("t1")).otherwise(F.raise_error(F.lit("The two sides of an allocation have different totals")).cast("long"))
+    sweep = Window.partitionBy(group).orderBy("pos")
+    owner = lambda c: F.last(c, ignorenulls=True).over(sweep.rowsBetween(Window.unboundedPreceding, 0))
+    parts = a.unionByName(b).select(group, "pos", owner("a").alias("a"), owner("b").alias("b"), F.lead("pos").over(sweep).alias("next"))
+    parts = parts.join(totals.select(group, total.alias("total")), group).withColumn(size, F.coalesce("next", "total") - F.col("pos"))
+    return parts.filter(F.col(size) > 0).select(group, f"a.{left_index}", f"b.{right_index}", size)
 
 
 def disaggregate(flows: DataFrame, origin_clusters: DataFrame, destination_clusters: DataFrame) -> DataFrame:

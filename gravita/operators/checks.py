@@ -118,6 +118,17 @@ def package(files: DataFrame, code: str, foreign: str) -> DataFrame:
     return _told(state.filter("NOT tiles OR alien OR wrong"), "package", F.lit(code))
 
 
+def required_files(present: DataFrame, required: DataFrame) -> DataFrame:
+    """Names that are required (both tables: name) but not present."""
+    return _told(required.join(present, "name", "left_anti"), "required_files", F.col("name"))
+
+
+def config_code(configs: DataFrame, code: str) -> DataFrame:
+    """configs: json. A configuration with another code, or none."""
+    said = F.get_json_object("json", "$.code")
+    return _told(configs.filter(~said.eqNullSafe(F.lit(code))), "config_code", F.coalesce(said, F.lit("")))
+
+
 def demand(points: DataFrame, pops: DataFrame, box, most_size: int, most_pops: int, population: int, expected: int | None = None, allowed: DataFrame | None = None) -> list[DataFrame]:
     """The rules of a demand document, in order. points: id, lon, lat, jobs, residents, popIds."""
     rules = [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.scalar import padded
-from .tables import number_rows, only_row, zero_filled
+from .tables import enumerate_rows, number_rows, only_row, zero_filled
 
 
 def zoned(radios: DataFrame, degrees: float) -> DataFrame:
@@ -29,35 +29,46 @@ def apportioned(zones: DataFrame, budget: DataFrame) -> DataFrame:
     employed / seat; the best ones are taken, ties to the smaller zone and seat."""
     bounds = zones.agg(F.count(F.lit(1)).alias("least"), F.sum("radio_count").alias("most"))
     free = budget.crossJoin(bounds)
-    message = F.lit("display_cluster_count must be between solver-zone count and census-radio count")
+    message = F.lit("The cluster budget must lie between the number of zones and the number of radios")
     wrong = (F.col("budget") < F.col("least")) | (F.col("budget") > F.col("most"))
     free = free.select(F.when(wrong, F.raise_error(message).cast("long")).otherwise(F.col("budget") - F.col("least")).alias("free"))
     seats = zones.filter("radio_count > 1").select("zone", "employed", F.explode(F.sequence(F.lit(2).cast("long"), F.col("radio_count"))).alias("seat"))
-    ranked = number_rows(seats.withColumn("priority", F.col("employed") / F.col("seat")), "n", F.desc("priority"), "zone", "seat")
+    ranked = enumerate_rows(seats.withColumn("priority", F.col("employed") / F.col("seat")), "n", F.desc("priority"), "zone", "seat")
     won = only_row(ranked, free).filter("n < free")
     return zero_filled(zones, won.withColumn("one", F.lit(1).cast("long")), "zone", "one", "more").select("zone", (F.col("more") + 1).alias("clusters"))
 
 
 def ward(points: np.ndarray, n: int) -> np.ndarray:
-    """Labels of n clusters by least growth of squared error; ties to the lowest pair, labels in the order
-    of the least member. Memory grows with the square of the points of one zone."""
-    size, at = len(points), np.arange(len(points))
-    d = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1)
-    np.fill_diagonal(d, np.inf)
-    weight = np.ones(size)
-    for _ in range(size - n):
-        i, j = divmod(int(d.argmin()), size)
-        i, j = min(i, j), max(i, j)
-        total = weight[i] + weight[j] + weight
-        joint = ((weight[i] + weight) * d[i] + (weight[j] + weight) * d[j] - weight * d[i, j]) / total
-        joint[[i, j]] = np.inf
-        joint[~np.isfinite(d[i]) | ~np.isfinite(d[j])] = np.inf
-        d[i], d[:, i] = joint, joint
-        d[j], d[:, j] = np.inf, np.inf
-        weight[i] += weight[j]
-        at[at == j] = i
-    _, labels = np.unique(at, return_inverse=True)
-    return labels
+    """Labels of n clusters by least growth of squared error, in the order of the least member. Chains of
+    nearest neighbours find the merges, each in one step over the clusters that are left, and the cheapest
+    of them count (ties: the one found first). Only centroids and weights are held."""
+    size = len(points)
+    at, weight, alive = points.astype(float).copy(), np.ones(size), np.ones(size, bool)
+    merges, chain = [], []
+    while alive.sum() > 1:
+        if not chain:
+            chain.append(int(alive.argmax()))
+        i = chain[-1]
+        cost = weight * weight[i] / (weight + weight[i]) * ((at - at[i]) ** 2).sum(1)
+        cost[~alive] = np.inf
+        cost[i] = np.inf
+        j = int(cost.argmin())
+        if len(chain) > 1 and cost[chain[-2]] <= cost[j]:
+            j = chain[-2]
+            del chain[-2:]
+            lo, hi = min(i, j), max(i, j)
+            merges.append((cost[j], lo, hi))
+            at[lo] = (at[lo] * weight[lo] + at[hi] * weight[hi]) / (weight[lo] + weight[hi])
+            weight[lo] += weight[hi]
+            alive[hi] = False
+        else:
+            chain.append(j)
+    up = np.arange(size)
+    for _, lo, hi in sorted(merges, key=lambda m: m[0])[: max(size - n, 0)]:
+        up[up == up[hi]] = up[lo]
+    least = np.full(size, size)
+    np.minimum.at(least, up, np.arange(size))
+    return np.unique(least[up], return_inverse=True)[1]
 
 
 def ward_clusters(radios: DataFrame, zones: DataFrame, counts: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def merged_points(points: DataFrame) -> DataFrame:
 def chunks(rows: DataFrame, size: str, most: int) -> DataFrame:
     """Each row as often as it needs to hold its size in parts of at most ``most`` (columns part, chunk)."""
     if most <= 0:
-        raise ValueError("maximum_population_size must be positive")
+        raise ValueError("A population cannot be smaller than one")
     parts = F.sequence(F.lit(0).cast("long"), F.ceil(F.col(size) / most).cast("long") - 1)
     cut = rows.filter(F.col(size) > 0).withColumn("part", F.explode(parts))
     return cut.withColumn("chunk", F.least(F.lit(most).cast("long"), F.col(size) - F.col("part") * most))

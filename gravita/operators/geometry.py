@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,7 +21,8 @@ def _ring_area(p: np.ndarray) -> float:
 
 def inner_point(rings: list[np.ndarray]) -> tuple[float, float]:
     """A point inside: on the horizontal line through the middle of the outline that passes no vertex, the
-    middle of the widest stretch inside (crossings counted over all rings)."""
+    middle of the widest stretch inside (crossings counted over all rings, equal ones once)."""
+    rings = list({r.tobytes(): r for r in rings}.values())
     ys = np.unique(np.concatenate([r[:, 1] for r in rings]))
     if len(ys) < 2:
         return float(rings[0][0, 0]), float(rings[0][0, 1])
@@ -75,6 +78,41 @@ def spheroid_area(rings: str) -> Column:
     return F.pandas_udf(_area, "double")(F.col(rings))
 
 
+def wkb_polygons(data: bytes) -> list[list[np.ndarray]]:
+    """Rings of each part of a Polygon or MultiPolygon in well-known binary; others have no parts."""
+
+    def read(at: int) -> tuple[list[list[np.ndarray]], int]:
+        order = "<" if data[at] else ">"
+        kind, n = struct.unpack_from(f"{order}II", data, at + 1)
+        at, parts, found = at + 9, [], []
+        if kind % 1000 == 6:
+            for _ in range(n):
+                inner, at = read(at)
+                parts += inner
+            return parts, at
+        if kind % 1000 != 3:
+            return [], at
+        wide = 2 + kind // 1000 % 3 + (kind // 1000 == 3)
+        for _ in range(n):
+            (points,) = struct.unpack_from(f"{order}I", data, at)
+            found.append(np.frombuffer(data, f"{order}f8", points * wide, at + 4).reshape(-1, wide)[:, :2].astype(float))
+            at += 4 + 8 * wide * points
+        return [found], at
+
+    return read(0)[0]
+
+
+def wkb_area(geometry: str) -> Column:
+    """Square metres of a polygon in well-known binary: outer rings less their holes."""
+
+    @F.pandas_udf("double")
+    def area(values: pd.Series) -> pd.Series:
+        one = lambda part: authalic_area(part[0]) - sum(map(authalic_area, part[1:]))
+        return pd.Series([None if v is None else sum(one(part) for part in wkb_polygons(v) if part) for v in values], dtype=float)
+
+    return area(F.col(geometry))
+
+
 def thinned(p: np.ndarray, tolerance: float) -> np.ndarray:
     """Points that the line between kept neighbours misses by more than the tolerance."""
     keep, todo = np.zeros(len(p), bool), [(0, len(p) - 1)]

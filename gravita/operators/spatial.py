@@ -2,8 +2,10 @@
 
 Points are hashed into square cells; a point looks into its own cell and the eight around it. A neighbour
 found there is certain if it is no farther than the nearest border of those nine cells. What isn't certain
-looks again in cells twice as wide, and so on, so every join is an equi-join on cells, and no side has to
-fit into one task. Distances are planar, longitudes shortened by the cosine of a mean latitude.
+looks again in cells four times as wide, until the cells are as wide as the map, where everything is in sight.
+Every join is an equi-join on cells, and no side has to fit into one task. The first cells are so narrow
+that the right side's points are spread thinly over them, and points at one place are looked up once.
+Distances are planar, longitudes shortened by the cosine of a mean latitude.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from .tables import kept, only_row, zero_filled
 
+#: Points that a point of the right side shares its first cell with, on average, and halvings of the map tried.
+SHARED, HALVINGS = 4, 24
+
 
 def longitude_scale(points: DataFrame, lat: str = "lat") -> DataFrame:
     """One row: cosine of the unweighted mean latitude."""
@@ -24,17 +29,37 @@ def _placed(points: DataFrame, scale: DataFrame, key: str, lon: str, lat: str) -
     return only_row(points, scale).select(F.col(key), (F.col(lon) * F.col("scale")).alias("x"), F.col(lat).alias("y"))
 
 
+def _first_cell(there: DataFrame, extent: float) -> float:
+    """The widest cell, of the map's width halved again and again, in which points have few neighbours. Only
+    counts of cells are looked at."""
+    cell = extent / 2.0**HALVINGS
+    counts = there.groupBy(F.floor(F.col("rx") / cell).alias("cx"), F.floor(F.col("ry") / cell).alias("cy")).agg(F.count(F.lit(1)).alias("n"))
+    level = F.explode(F.sequence(F.lit(0), F.lit(HALVINGS)))
+    wide = counts.withColumn("level", level).groupBy("level", F.expr("shiftright(cx, level)").alias("x"), F.expr("shiftright(cy, level)").alias("y")).agg(F.sum("n").alias("n"))
+    shared = wide.groupBy("level").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("shared"))
+    best = shared.filter(F.col("shared") <= SHARED).agg(F.max("level")).first()[0]
+    return cell * 2.0 ** (best or 0)
+
+
 def nearest_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, scale: DataFrame, cell: float = 0.05, levels: int = 4, lon: str = "lon", lat: str = "lat"
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, scale: DataFrame, cell: float | None = None, lon: str = "lon", lat: str = "lat"
 ) -> DataFrame:
-    """(left_key, right_key): the nearest right point of every left point, ties to the smaller key. At the
-    last level cells are wider than a map, and what it finds counts. Each level is kept, as the next
-    level and the result both read it."""
-    todo = _placed(left, scale, left_key, lon, lat)
-    there = _placed(right, scale, right_key, lon, lat).select(F.col(right_key), F.col("x").alias("rx"), F.col("y").alias("ry"))
+    """(left_key, right_key): the nearest right point of every left point, ties to the smaller key. Points
+    without coordinates have no place and take no part; without right points there is nothing to find.
+    Each level is kept, as the next level and the result both read it."""
+    placed = _placed(left, scale, left_key, lon, lat).dropna(subset=["x", "y"])
+    there = _placed(right, scale, right_key, lon, lat).dropna(subset=["x", "y"])
+    there = kept(there.groupBy(F.col("x").alias("rx"), F.col("y").alias("ry")).agg(F.min(right_key).alias(right_key)))
+    todo = kept(placed.select("x", "y").distinct())
+    ends = todo.unionByName(there.select(F.col("rx").alias("x"), F.col("ry").alias("y")))
+    if there.isEmpty():
+        return placed.join(there.select(right_key), F.lit(False)).select(left_key, right_key)
+    b = ends.agg(*(f(c).alias(f"{n}{c}") for c in ("x", "y") for n, f in (("least_", F.min), ("most_", F.max)))).first()
+    extent = max(b.most_x - b.least_x, b.most_y - b.least_y)
+    size = cell or _first_cell(there, extent or 1.0)
     out = None
-    for level in range(levels):
-        size, last = cell * 8.0**level, level == levels - 1
+    while True:
+        last = size >= extent
         column = lambda c: F.floor(F.col(c) / size)
         around = F.explode(F.array(*(F.lit(i).cast("long") for i in (-1, 0, 1))))
         asked = todo.withColumn("dx", around).withColumn("dy", around)
@@ -42,17 +67,18 @@ def nearest_join(
         held = there.withColumn("cx", column("rx")).withColumn("cy", column("ry"))
         d2 = (F.col("x") - F.col("rx")) ** 2 + (F.col("y") - F.col("ry")) ** 2
         near = F.when(F.col(right_key).isNotNull(), F.struct(d2.alias("d2"), F.col(right_key)))
-        best = asked.join(held, ["cx", "cy"], "left").groupBy(left_key, "x", "y").agg(F.min(near).alias("best"))
+        best = asked.join(held, ["cx", "cy"], "left").groupBy("x", "y").agg(F.min(near).alias("best"))
         border = F.least(*(F.col(c) - (column(c) - 1) * size for c in ("x", "y")), *((column(c) + 2) * size - F.col(c) for c in ("x", "y")))
         sure = F.col("best").isNotNull() & (F.lit(last) | (F.sqrt("best.d2") <= border))
         seen = kept(best.withColumn("sure", sure))
-        found = seen.filter("sure").select(left_key, F.col(f"best.{right_key}").alias(right_key))
+        found = seen.filter("sure").select("x", "y", F.col(f"best.{right_key}").alias(right_key))
         out = found if out is None else out.unionByName(found)
-        todo = seen.filter("NOT sure").select(left_key, "x", "y")
-    return out
+        todo, size = seen.filter("NOT sure").select("x", "y"), size * 4.0
+        if last or todo.isEmpty():
+            return placed.join(out, ["x", "y"]).select(left_key, right_key)
 
 
-def capacity_by_cluster(workplaces: DataFrame, radios: DataFrame, clusters: DataFrame, cell: float = 0.05) -> DataFrame:
+def capacity_by_cluster(workplaces: DataFrame, radios: DataFrame, clusters: DataFrame, cell: float | None = None) -> DataFrame:
     """cluster, capacity: every workplace's capacity at the cluster of its nearest radio, 0 where none is.
 
     workplaces: workplace, lon, lat, capacity; radios: radio, lon, lat, cluster; clusters: cluster."""
@@ -67,15 +93,15 @@ def candidate_edges(origins: DataFrame, destinations: DataFrame, k: int, decay_k
     index.
 
     origins: o, lon, lat; destinations: d, lon, lat. Both are cells of the solver's grid, whose number the
-    bounding box fixes (some thousands), so all pairs are formed; the window keeps k before it shuffles."""
+    bounding box fixes (some thousands), so all pairs are formed, once; the window keeps k before it shuffles,
+    and origins left over are measured on their own."""
     o = origins.select("o", F.col("lon").alias("olon"), F.col("lat").alias("olat"))
     d = destinations.select("d", F.col("lon").alias("dlon"), F.col("lat").alias("dlat"))
     scale = longitude_scale(origins)
-    pairs = only_row(d.join(o), scale)
     planar = geo.planar2(F.col("olon"), F.col("olat"), F.col("dlon"), F.col("dlat"), F.col("scale"))
     km = geo.haversine_km(F.col("olon"), F.col("olat"), F.col("dlon"), F.col("dlat"))
-    ranked = pairs.withColumn("d2", planar).withColumn("w", geo.gravity(km, decay_km))
-    near = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("d").orderBy("d2", "o"))).filter(F.col("rn") <= k)
-    orphans = o.join(near, "o", "left_anti").select("o")
-    rescued = ranked.join(orphans, "o", "left_semi").groupBy("o").agg(F.min_by(F.struct("d", "w"), F.struct("d2", "d")).alias("best"))
+    measured = lambda some: only_row(d.join(some), scale).withColumn("d2", planar).withColumn("w", geo.gravity(km, decay_km))
+    near = measured(o).withColumn("rn", F.row_number().over(Window.partitionBy("d").orderBy("d2", "o"))).filter(F.col("rn") <= k)
+    near = kept(near.select("o", "d", "w"))
+    rescued = measured(o.join(near, "o", "left_anti")).groupBy("o").agg(F.min_by(F.struct("d", "w"), F.struct("d2", "d")).alias("best"))
     return near.select("o", "d", "w").unionByName(rescued.select("o", "best.d", "best.w"))

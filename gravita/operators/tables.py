@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one that all executors share; one of our own only where none is named."""
+    """A new folder under the one that all executors share; one of our own only where none is named and all
+    executors are this process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='gravita-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -46,6 +50,18 @@ def enumerate_rows(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
     return placed.withColumn("_part", part).join(starts, "_part").withColumn(name, (F.col("_before") + at).cast("long")).drop("_mid", "_part", "_before")
 
 
+def running_sum(df: DataFrame, value: str, out: str, *order: Column | str) -> DataFrame:
+    """Sum of ``value`` up to and with each row in a total order. Rows are sorted over all partitions and
+    summed within theirs; only the partitions' sums meet in one place."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = kept(placed.withColumn("_mid", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_mid", 33))
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select("_part", before.alias("_before"))
+    own = F.sum(value).over(Window.partitionBy("_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0))
+    return placed.withColumn(out, own).join(F.broadcast(starts), "_part").withColumn(out, F.col("_before") + F.col(out)).drop("_mid", "_part", "_before")
+
+
 def number_rows(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
     """The same for tables bounded by the model (zones, clusters): one sorted window."""
     return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
@@ -53,32 +69,25 @@ def number_rows(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
 
 def integerize(df: DataFrame, value: str, index: str, out: str, total: DataFrame | None = None) -> DataFrame:
     """Whole numbers nearest to ``value`` with the exact sum ``total`` (a one-row table with column total;
-    by default the half-even rounded sum). The largest fractions get the ones that are left, ties by
-    smaller index. Only rows with a fraction rank that could matter are compared: the cut is found by an
-    ordered running count over distinct fractions, so rows themselves never meet in one task."""
+    by default the half-even rounded sum, taken of decimals so that it doesn't depend on the rows' order).
+    The largest fractions get the ones that are left, ties by smaller index: rows are numbered in that order
+    over all partitions, and the first ones get one more."""
     floor, rest = F.floor(value).cast("long"), F.col(value) - F.floor(value)
     rows = df.withColumn("_floor", floor).withColumn("_rest", rest)
-    sums = rows.agg(F.sum("_floor").alias("_floors"), F.rint(F.sum(value)).cast("long").alias("_own"), F.count(F.lit(1)).alias("_rows"))
+    exact = F.sum(F.col(value).cast("decimal(38,12)"))
+    sums = rows.agg(F.sum("_floor").alias("_floors"), F.bround(exact, 0).cast("long").alias("_own"), F.count(F.lit(1)).alias("_rows"))
     wanted = sums.crossJoin(total) if total is not None else sums.withColumn("total", F.col("_own"))
     extra = F.col("total") - F.col("_floors")
-    checked = F.when((extra < 0) | (extra > F.col("_rows")), F.raise_error(F.lit("Cannot integerize values with the requested total")).cast("long")).otherwise(extra)
-    wanted = wanted.select(checked.alias("_extra"))
-    ranks = rows.groupBy("_rest").agg(F.count(F.lit(1)).alias("_same"))
-    ranks = ranks.withColumn("_upto", F.sum("_same").over(Window.orderBy(F.desc("_rest"))))
-    full = ranks.select("_rest", (F.col("_upto") - F.col("_same")).alias("_above"), "_upto")
-    marked = only_row(rows.join(full, "_rest"), wanted)
-    edge = (F.col("_above") < F.col("_extra")) & (F.col("_upto") > F.col("_extra"))
-    place = F.row_number().over(Window.partitionBy(edge).orderBy(index))
-    tied = marked.filter(edge).withColumn("_place", place).withColumn(out, F.col("_floor") + F.when(F.col("_place") <= F.col("_extra") - F.col("_above"), 1).otherwise(0))
-    clear = marked.filter(~edge).withColumn(out, F.col("_floor") + F.when(F.col("_upto") <= F.col("_extra"), 1).otherwise(0))
-    return clear.select(*df.columns, out).unionByName(tied.select(*df.columns, out))
+    checked = F.when((extra < 0) | (extra > F.col("_rows")), F.raise_error(F.lit("No whole numbers near the values have the wanted sum")).cast("long")).otherwise(extra)
+    ranked = only_row(enumerate_rows(rows, "_place", F.desc("_rest"), index), wanted.select(checked.alias("_extra")))
+    return ranked.withColumn(out, F.col("_floor") + F.when(F.col("_place") < F.col("_extra"), 1).otherwise(0)).select(*df.columns, out)
 
 
 def weighted_percentile(df: DataFrame, value: str, weight: str, p: float, out: str) -> DataFrame:
     """One row: the least value whose running weight reaches p of all weight; 0 without weight. Weights
     are first summed for each value."""
     by_value = df.groupBy(value).agg(F.sum(weight).alias("_w"))
-    run = by_value.select(value, F.sum("_w").over(Window.orderBy(value)).alias("_upto"), F.sum("_w").over(Window.partitionBy()).alias("_all"))
+    run = only_row(running_sum(by_value, "_w", "_upto", value), df.agg(F.sum(weight).alias("_all")))
     return run.agg(F.coalesce(F.min(F.when((F.col("_all") > 0) & (F.col("_upto") >= F.col("_all") * p), F.col(value))), F.lit(0.0)).alias(out))
 
 

@@ -92,6 +92,26 @@ def footprint_filter(spark, sf_dir):
     return b.filter((F.col("bbox.xmin") >= west) & (F.col("bbox.xmax") <= east) & (F.col("bbox.ymin") >= south) & (F.col("bbox.ymax") <= north)).drop("bbox")
 
 
+#: Half the squared semi-axis of WGS84 in square kilometres, its squared eccentricity and eccentricity.
+_HALF_A2, _E2, _E = "20340315.793442745e0", "0.006694379990141316e0", "0.08181919084262149e0"
+
+
+def _area_sql(west: str, east: str, south: str, north: str) -> str:
+    """Square kilometres of a rectangle of longitudes and latitudes on the ellipsoid."""
+    q = lambda lat: f"((1e0 - {_E2}) * (sin(radians({lat})) / (1e0 - {_E2} * pow(sin(radians({lat})), 2e0)) + ln((1e0 + {_E} * sin(radians({lat}))) / (1e0 - {_E} * sin(radians({lat})))) / (2e0 * {_E})))"
+    return f"({_HALF_A2} * radians({east} - {west}) * ({q(north)} - {q(south)}))"
+
+
+@query(f"""WITH f AS (SELECT o_orderkey, -58.5e0 + CAST(o_orderkey % 1009 AS DOUBLE) / 1000e0 AS xmin, -34.9e0 + CAST(o_orderkey % 503 AS DOUBLE) / 1000e0 AS ymin,
+  CAST(1 + o_orderkey % 12 AS DOUBLE) / 100000e0 AS side FROM orders)
+SELECT o_orderkey FROM f WHERE xmin >= -58.3e0 AND xmin + side <= -57.8e0 AND ymin >= -34.8e0 AND ymin + side <= -34.5e0 AND {_area_sql("xmin", "(xmin + side)", "ymin", "(ymin + side)")} > 0.00004e0""")
+def footprint_scan(spark, sf_dir):
+    """Footprints of more than 40 square metres in a box, read from partitioned Parquet."""
+    path = f"{tables.shared_folder(spark)}/footprints"
+    views.footprints(spark, sf_dir).write.partitionBy("type").parquet(path)
+    return readers.read_footprints(spark, path, (-58.3, -34.8, -57.8, -34.5), 40.0).select(F.col("height").cast("long").alias("o_orderkey"))
+
+
 def _headers(spark, sf_dir):
     little = lambda x, n: "unhex(concat(" + ", ".join(f"lpad(hex(shiftright({x}, {8 * i}) & 255), 2, '0')" for i in range(n)) + "))"
     return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS name", f"concat(unhex('53424249'), unhex('01000000'), {little('o_orderkey * 7', 4)}) AS content")
@@ -251,11 +271,11 @@ def _zones(spark, sf_dir):
 
 def _graph(spark, sf_dir, k):
     zones = _zones(spark, sf_dir)
-    return spatial.candidate_edges(zones.select(F.col("zone").alias("o"), "lon", "lat"), zones.filter("zone % 3 = 0").select((F.col("zone") / 3).cast("long").alias("d"), "lon", "lat"), k, 12.0)
+    return spatial.candidate_edges(zones.select(F.col("zone").alias("o"), "lon", "lat"), zones.select(F.col("zone").alias("d"), "lon", "lat"), k, 12.0)
 
 
 def _graph_sql(k):
-    return f"""WITH {ZONED}, dz AS (SELECT zone // 3 AS d, lon, lat FROM zones WHERE zone % 3 = 0), s AS (SELECT cos(radians(avg(lat))) AS k FROM zones),
+    return f"""WITH {ZONED}, dz AS (SELECT zone AS d, lon, lat FROM zones), s AS (SELECT cos(radians(avg(lat))) AS k FROM zones),
 pairs AS (SELECT zone AS o, d, pow((z.lon - dz.lon) * k * 111.2e0, 2e0) + pow((z.lat - dz.lat) * 111.2e0, 2e0) AS d2, exp(-({KM.format(a='z', b='dz')}) / 12e0) AS w FROM zones z, dz, s),
 near AS (SELECT o, d, w FROM pairs QUALIFY row_number() OVER (PARTITION BY d ORDER BY d2, o) <= {k}),
 lost AS (SELECT o, d, w FROM pairs WHERE o NOT IN (SELECT o FROM near) QUALIFY row_number() OVER (PARTITION BY o ORDER BY d2, d) = 1),
@@ -384,6 +404,19 @@ def dissolve_rings(spark, sf_dir):
     return rows.select("region_id", "ring", F.size("points").alias("n_points"))
 
 
+@query(f"""WITH cells AS ({_GRID}), sides AS (
+  SELECT region_id, x AS x1, y AS y1, x + 1 AS x2, y AS y2 FROM cells UNION ALL SELECT region_id, x, y + 1, x + 1, y + 1 FROM cells
+  UNION ALL SELECT region_id, x, y, x, y + 1 FROM cells UNION ALL SELECT region_id, x + 1, y, x + 1, y + 1 FROM cells),
+edges AS (SELECT * FROM sides GROUP BY ALL HAVING count(*) = 1)
+SELECT CAST(region_id AS INT) AS region_id, count(*) AS segments, CAST(sum(x1 * 7 + y1 * 11 + x2 * 7 + y2 * 11) AS DOUBLE) AS places, true AS closed FROM edges GROUP BY region_id""")
+def dissolve_closed(spark, sf_dir):
+    """The rings of a region use every segment of its outline once, and end where they begin."""
+    rows = geometry.stitched(prepare.boundary_segments(_cells(spark, sf_dir))).withColumn("steps", F.expr("transform(sequence(1, size(points) - 1), i -> struct(points[i - 1] as a, points[i] as b))"))
+    places = F.aggregate("steps", F.lit(0.0), lambda acc, s: acc + (s["a"][0] + s["b"][0]) * 7 + (s["a"][1] + s["b"][1]) * 11)
+    closed = F.element_at("points", 1) == F.element_at("points", -1)
+    return rows.groupBy("region_id").agg(F.sum(F.size("steps")).alias("segments"), F.sum(places).alias("places"), F.bool_and(closed).alias("closed"))
+
+
 @query("WITH c AS (SELECT o_custkey AS k, o_orderkey AS n FROM orders) SELECT k, max(n) AS n FROM c GROUP BY k")
 def dedupe_last_wins(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("n"), F.col("o_orderkey").alias("ord"))
@@ -428,10 +461,18 @@ def apportion_clusters(spark, sf_dir):
 @query()
 def ward_clusters(spark, sf_dir):
     radios = cluster.zoned(views.radios(spark, sf_dir), ZONE_DEGREES)
-    zones = cluster.zone_totals(radios).persist()
+    zones = tables.kept(cluster.zone_totals(radios))
     return cluster.ward_clusters(radios, zones, cluster.apportioned(zones, _budget(radios, zones)))
 
 
+@query(f"""WITH {ZONED}, seats AS (SELECT zone, employed, unnest(generate_series(2, radio_count)) AS seat FROM zones WHERE radio_count > 1),
+won AS (SELECT zone, row_number() OVER (ORDER BY employed / CAST(seat AS DOUBLE) DESC, zone, seat) AS n FROM seats)
+SELECT zones.zone, zones.radio_count AS radios, count(won.zone) + 1 AS labels FROM zones LEFT JOIN won ON won.zone = zones.zone AND n <= {_BUDGET} - (SELECT count(*) FROM zones) GROUP BY ALL""")
+def ward_sizes(spark, sf_dir):
+    """Every radio has a label, and every zone as many labels as it was given."""
+    return ward_clusters(spark, sf_dir).groupBy("zone").agg(F.count_distinct("radio").alias("radios"), F.count_distinct("label").alias("labels"))
+
+
 @query("""WITH v AS (SELECT l_quantity AS v, CAST(l_linenumber AS BIGINT) AS w FROM lineitem), c AS (SELECT v, sum(sum(w)) OVER (ORDER BY v) AS upto FROM v GROUP BY v)
 SELECT min(v) FILTER (WHERE upto >= 0.9e0 * (SELECT sum(w) FROM v)) AS p90 FROM c""")
 def weighted_percentile(spark, sf_dir):
@@ -487,7 +528,7 @@ _BALANCED = _graph_sql(10) + "".join(_ROUND.format(i=i, before="edges" if i == 0
 
 
 def _balanced(spark, sf_dir):
-    edges = _graph(spark, sf_dir, 10).persist()
+    edges = tables.kept(_graph(spark, sf_dir, 10))
     targets = lambda c, n: edges.select(c).distinct().withColumn("target", (F.col(c) + n).cast("double"))
     return gravity.balance_rounds(edges, targets("o", 1000), targets("d", 3000), 3), targets("o", 1000)
 
@@ -518,7 +559,7 @@ def edge_costs(spark, sf_dir):
 @query()
 def transport(spark, sf_dir):
     """Balanced flows on whole numbers over the zones' graph; both margins are exact."""
-    edges = _graph(spark, sf_dir, 15).persist()
+    edges = tables.kept(_graph(spark, sf_dir, 15))
     a = edges.select("o").distinct().withColumn("target", (100 + F.col("o") % 3).cast("long"))
     n = a.agg(F.sum("target").alias("total")).crossJoin(edges.agg(F.count_distinct("d").alias("n"), F.max("d").alias("last")))
     share = F.floor(F.col("total") / F.col("n"))
@@ -526,6 +567,16 @@ def transport(spark, sf_dir):
     return gravity.transported(edges, a, b, 0.5, 2000, 16.0, 15).select("o", "d", "size")
 
 
+@query(f"""WITH {ZONED}, n AS (SELECT count(*) AS n, sum(100 + zone % 3) AS total, max(zone) AS last FROM zones)
+SELECT 'o' AS side, zone AS key, CAST(100 + zone % 3 AS BIGINT) AS size FROM zones UNION ALL
+SELECT 'd', zone, CAST(total // n + CASE WHEN zone = last THEN total - total // n * n ELSE 0 END AS BIGINT) FROM zones, n""")
+def transport_margins(spark, sf_dir):
+    """What the whole flows add up to on either side: exactly the targets."""
+    flows = tables.kept(transport(spark, sf_dir))
+    side = lambda c: flows.groupBy(F.col(c).alias("key")).agg(F.sum("size").alias("size")).select(F.lit(c).alias("side"), "key", "size")
+    return side("o").unionByName(side("d"))
+
+
 @query("""WITH t AS (SELECT l_orderkey AS k, CAST(sum(l_quantity) AS BIGINT) AS t FROM lineitem GROUP BY 1), a AS (SELECT l_orderkey AS k, CAST(sum(l_quantity) AS BIGINT) AS a FROM lineitem WHERE l_orderkey % 10 <> 3 GROUP BY 1)
 SELECT k, t AS target, coalesce(a, 0) AS assigned FROM t LEFT JOIN a USING (k) WHERE t <> coalesce(a, 0)""")
 def check_margins(spark, sf_dir):
@@ -543,10 +594,10 @@ def destination_zones(spark, sf_dir):
     return cluster.destination_zones(members, held, zones).select("d", "id", "zone", "capacity")
 
 
-@query("""WITH c AS (SELECT o_orderkey AS oc, o_custkey AS dc, CAST(floor(o_totalprice / 100) AS BIGINT) AS size FROM orders WHERE o_orderkey % 4 = 0), parts AS (SELECT oc, dc, size, unnest(generate_series(0, CAST(ceil(size / 200e0) AS BIGINT) - 1)) AS part FROM c WHERE size > 0)
+@query("""WITH c AS (SELECT o_orderkey AS oc, o_custkey AS dc, CAST(floor(o_totalprice / 100) AS BIGINT) AS size FROM orders), parts AS (SELECT oc, dc, size, unnest(generate_series(0, CAST(ceil(size / 200e0) AS BIGINT) - 1)) AS part FROM c WHERE size > 0)
 SELECT oc, dc, part, least(200, size - part * 200) AS chunk FROM parts""")
 def population_chunks(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("oc"), F.col("o_custkey").alias("dc"), F.floor(F.col("o_totalprice") / 100).cast("long").alias("size"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("oc"), F.col("o_custkey").alias("dc"), F.floor(F.col("o_totalprice") / 100).cast("long").alias("size"))
     return emit.chunks(rows, "size", 200).select("oc", "dc", "part", "chunk")
 
 
@@ -573,19 +624,19 @@ def explode_multipart(spark, sf_dir):
     return prepare.single_parts(rows).select(F.col("area_id").cast("int").alias("n_nationkey"), "part", F.col("shape")[0][0][0].alias("x"))
 
 
-@query()
+@query(f"WITH {_FEATURES} SELECT area_id, round((west + east) / 2e0, 6) AS lon, round((south + north) / 2e0, 6) AS lat FROM bounded")
 def representative_point(spark, sf_dir):
     shaped = prepare.reprojected(readers.rings(prepare.with_area_id(_features(spark, sf_dir))))
-    return shaped.select("area_id", geometry.interior_point("rings").alias("p")).select("area_id", "p.lon", "p.lat")
+    return shaped.select("area_id", geometry.interior_point("rings").alias("p")).select("area_id", F.round("p.lon", 6).alias("lon"), F.round("p.lat", 6).alias("lat"))
 
 
-@query()
+@query(f"WITH {_FEATURES} SELECT area_id, round({_area_sql('west', 'east', 'south', 'north')} * CASE type WHEN 'Polygon' THEN 1 ELSE 2 END, 5) AS square_kilometres FROM bounded")
 def footprint_area(spark, sf_dir):
     shaped = prepare.reprojected(readers.rings(prepare.with_area_id(_features(spark, sf_dir))))
-    return shaped.select("area_id", geometry.spheroid_area("rings").alias("square_metres"))
+    return shaped.select("area_id", F.round(geometry.spheroid_area("rings") / 1e6, 5).alias("square_kilometres"))
 
 
-@query()
+@query(f"WITH {_FEATURES} SELECT area_id, CASE type WHEN 'Polygon' THEN 5 ELSE 10 END AS n_points FROM feats")
 def simplify_outline(spark, sf_dir):
     shaped = prepare.reprojected(readers.rings(prepare.with_area_id(_features(spark, sf_dir))))
     return shaped.select("area_id", F.size(F.flatten(geometry.simplified("rings", 0.00001))).alias("n_points"))
@@ -693,6 +744,19 @@ def check_package(spark, sf_dir):
     return checks.package(files, "ABC", "XYZ.")
 
 
+@query("SELECT 'required_files' AS rule, n_name AS offender FROM nation WHERE n_nationkey % 4 = 1")
+def check_required_files(spark, sf_dir):
+    names = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"))
+    return checks.required_files(names.filter("n_nationkey % 4 <> 1"), names)
+
+
+@query("SELECT 'config_code' AS rule, CASE WHEN n_nationkey % 3 = 1 THEN 'XYZ' ELSE '' END AS offender FROM nation WHERE n_nationkey % 3 > 0")
+def check_config_code(spark, sf_dir):
+    key = F.col("n_nationkey") % 3
+    said = F.when(key == 0, F.lit('{"code":"ABC"}')).when(key == 1, F.lit('{"code":"XYZ"}')).otherwise(F.lit("{}"))
+    return checks.config_code(table(spark, sf_dir, "nation").select(said.alias("json")), "ABC")
+
+
 # Whole runs
 
 
@@ -713,6 +777,16 @@ def demand_populations(spark, sf_dir):
     return _model(spark, sf_dir).pops
 
 
+@query(f"WITH {RADIOS} SELECT CAST(sum(employed) AS BIGINT) AS residents, CAST(sum(employed) AS BIGINT) AS jobs, CAST(sum(employed) AS BIGINT) AS people, 0::BIGINT AS strangers FROM radios")
+def demand_totals(spark, sf_dir):
+    """Everyone lives at a point, works at a point and belongs to a population of known points."""
+    model = _model(spark, sf_dir)
+    sums = model.points.agg(F.sum("residents").alias("residents"), F.sum("jobs").alias("jobs")).crossJoin(model.pops.agg(F.sum("size").alias("people")))
+    known = model.points.select("id")
+    strangers = model.pops.join(known.withColumnRenamed("id", "residenceId"), "residenceId", "left_anti").agg(F.count(F.lit(1)).alias("strangers"))
+    return sums.crossJoin(strangers)
+
+
 @query()
 def demand_report(spark, sf_dir):
     return _model(spark, sf_dir).report

@@ -3,13 +3,19 @@ that any engine finds the same coordinates. The SQL texts say the same for DuckD
 
 from __future__ import annotations
 
+import struct
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
+
+from ..config import Config
 
-BBOX = (-59.4, -35.2, -57.7, -34.2)
+BBOX = Config().bbox
 ZONE_DEGREES = 0.2
 YEAR = 2000
-WEIGHTS = {"a. 1-9": 5.0, "b. 10-49": 29.5, "c. 50-199": 124.5, "d. 200-499": 349.5, "e. 500+": 500.0}
+WEIGHTS = Config().employment_weights
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +61,21 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@F.pandas_udf(BinaryType())
+def _rectangles(west: pd.Series, east: pd.Series, south: pd.Series, north: pd.Series) -> pd.Series:
+    """Rectangles in well-known binary."""
+    return pd.Series([struct.pack("<BIII10d", 1, 3, 1, 5, w, s, e, s, e, n, w, n, w, s) for w, e, s, n in zip(west, east, south, north, strict=True)])
+
+
+def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rectangle of some metres for each order: geometry, height (the order), bbox, type (the partition)."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey AS double) AS height", "-58.5e0 + cast(o_orderkey % 1009 AS double) / 1000e0 AS xmin", "-34.9e0 + cast(o_orderkey % 503 AS double) / 1000e0 AS ymin",
+        "cast(1 + o_orderkey % 12 AS double) / 100000e0 AS side", "CASE WHEN o_orderkey % 2 = 0 THEN 'building' ELSE 'part' END AS type",
+    ).withColumn("xmax", F.col("xmin") + F.col("side")).withColumn("ymax", F.col("ymin") + F.col("side"))
+    return rows.select(_rectangles("xmin", "xmax", "ymin", "ymax").alias("geometry"), "height", F.struct("xmin", "xmax", "ymin", "ymax").alias("bbox"), "type")
+
+
 def populations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, residenceId, jobId, size, one for each order: customers live at one point and work at another."""
     return table(spark, sf_dir, "orders").selectExpr(

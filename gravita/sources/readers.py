@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import little_endian
+from ..operators.geometry import wkb_area
 
 FEATURES = "type string, crs string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
 STATS = "area_id string, population double, jobs double"
@@ -121,9 +122,12 @@ def index_header(files: DataFrame) -> DataFrame:
     return files.withColumn("count", F.when(ok, count).otherwise(F.raise_error(F.lit("not a building index")).cast("long")))
 
 
-def read_footprints(spark: SparkSession, path: str, bbox) -> DataFrame:
-    """geometry and height of footprints within a box; the box test reaches the Parquet scan."""
+def read_footprints(spark: SparkSession, path: str, bbox, least_area: float | None = None) -> DataFrame:
+    """geometry and height of footprints within a box, and of more than some square metres; the box test
+    reaches the Parquet scan, the area is only taken of what passes it."""
     west, south, east, north = bbox
     b = F.col("bbox")
     rows = spark.read.parquet(path).filter((b.xmin >= west) & (b.xmax <= east) & (b.ymin >= south) & (b.ymax <= north))
+    if least_area is not None:
+        rows = rows.filter(wkb_area("geometry") > least_area)
     return rows.select("geometry", "height")

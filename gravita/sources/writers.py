@@ -16,13 +16,35 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def write_features(df: DataFrame, path: str) -> None:
-    """One GeoJSON feature a line, from columns type, coordinates (text) and properties."""
+def _feature_lines(df: DataFrame) -> DataFrame:
+    """Features as text, from columns type, coordinates (text) and properties."""
     feature = F.concat(
         F.lit('{"type":"Feature","properties":'), F.to_json("properties"), F.lit(',"geometry":{"type":"'), F.col("type"),
         F.lit('","coordinates":'), F.col("coordinates"), F.lit("}}"),
     )
-    df.select(feature.alias("value")).write.mode("overwrite").text(path)
+    return df.select(feature.alias("value"))
+
+
+def write_features(df: DataFrame, path: str) -> None:
+    """One GeoJSON feature a line."""
+    _feature_lines(df).write.mode("overwrite").text(path)
+
+
+def export_collection(df: DataFrame, path: str, marker: str, release: str, refresh: bool = True) -> bool:
+    """One GeoJSON collection of the features, put in place whole, and a file beside it that names the
+    release. Without ``refresh`` a file of the same release is used again. Says whether it was written."""
+    if not refresh and os.path.exists(path) and os.path.exists(marker):
+        with open(marker, encoding="utf-8") as f:
+            if f.read().strip() == release:
+                return False
+    with open(f"{path}.part", "w", encoding="utf-8") as f:
+        f.write('{"type":"FeatureCollection","features":[')
+        for i, row in enumerate(_feature_lines(df).toLocalIterator()):
+            f.write(("," if i else "") + "\n" + row.value)
+        f.write("\n]}\n")
+    os.replace(f"{path}.part", path)
+    replace_file(marker, f"{release}\n")
+    return True
 
 
 def demand_document(points: DataFrame, pops: DataFrame, most: int) -> str:
