@@ -1,326 +1,269 @@
 """Near-duplicates: a multi-index Hamming join over MinHash signatures, confirmed on full shingle sets.
 
-A signature has 30 symbols, the minima of a set under 30 orders. It is split into 10 chunks of 3. Two
-signatures that differ in at most 19 symbols have, by pigeonhole, a chunk with at most one error; every
-chunk therefore enumerates its three ways of leaving one symbol out, and the two symbols left name a
-bucket. So every pair within distance 19 meets, whatever the data. Sets at similarity 0.75 differ in 7.5
-symbols on average, and in more than 19 with a probability under 2e-6.
-
-Equal sets are one node from the start. Then, in three rounds:
-1. every member of a bucket is compared with the bucket's least member, and links are confirmed;
-2. in buckets that still hold several components, each member is compared with the nearest signature of
-   another component;
-3. of components that still have members within the distance in some bucket, all sets are compared, in
-   blocks that are held in memory.
-A pair inside one component needs no link, so nothing is lost, while thousands of near-copies make rows
-in proportion to their number. Signatures within a bucket are compared as vectors in memory.
-
-Defined results: texts without words are linked with nothing; null doc_ids count as the largest id and
-rows that share a doc_id as one document; an empty table gives an empty result.
+A signature has 30 symbols of 24 bits, taken from the minima of a set under 30 orders. It is split into 10
+chunks of 3 symbols. Two signatures that differ in at most 19 symbols have, by pigeonhole, a chunk with at
+most one error; every chunk therefore enumerates its three ways of leaving one symbol out, and the two
+symbols left are, bit for bit, a bucket's name. So every pair within distance 19 meets, whatever the data.
+Sets at similarity 0.75 differ in 7.5 symbols on average, and in more than 19 with a probability under 2e-6.
+
+Equal sets are one node from the start. Links are confirmed on full sets, in two rounds:
+1. every member of a bucket meets the bucket's least member. What is confirmed gives components, so that
+   thousands of near-copies become one component by rows in proportion to their number;
+2. buckets that still hold several components are searched exactly. A set can reach the similarity only if
+   that share of its own shingles occurs in sets of other components, so sets without that support are set
+   aside, as often as that sets any aside. The sets left in such a bucket meet in blocks of bounded size,
+   and a block returns only links that join components: rows follow members, never pairs.
+A pair inside one component needs no link, so nothing is lost. Hot buckets are split: their least members
+come from map-side combining, their members are joined by splittable joins and dealt to blocks by hash.
+
+Defined results: every row is a document of its own, whether or not its doc_id is null or repeated; a null
+doc_id counts as larger than any other, and component_id is null where all of a component are null; texts
+without words, null and empty ones are linked with nothing; whole texts count, however long; repeated rows
+and ties need no rule, as all of a component get its smallest doc_id; an empty table gives an empty result;
+other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, batch, numbered
 from .components import components
-from .shingles import Orders, set_digest, shingles
+from .shingles import Orders, mixed, set_digest, shingles
 
-SYMBOLS, CHUNK, DISTANCE = 30, 3, 19
+SYMBOLS, CHUNK, DISTANCE, BITS = 30, 3, 19, 24
 #: Percent of the union that the intersection must reach.
 PERCENT = 75
-#: Sets of a component in a block.
-BLOCK = 512
-_NULL_ID = (1 << 63) - 1
-#: Column that tells rows apart while copies are dropped.
+#: Sets that meet one leader in a task, and shingles in a block, about.
+VISITORS, BLOCK = 256, 1 << 19
+#: Column that tells rows apart.
 ROW = "_row"
 _ORDERS = Orders(SYMBOLS)
-_SALT = np.random.default_rng(41).integers(0, 1 << 63, (SYMBOLS // CHUNK, CHUNK), np.uint64)
+_PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+SETS = "node long, n long, a long, b long, signature binary"
 
-SETS = "doc_id long, n_shingles long, a long, b long, minima binary"
+
+def signature(s: np.ndarray) -> np.ndarray:
+    """SYMBOLS symbols of BITS bits of a filled set."""
+    return (mixed(_ORDERS.minima(s)) & np.uint64((1 << BITS) - 1)).astype("<u4")
 
 
 def _sets(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("minima", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("signature", pa.binary())])
     for b in batches:
         rows = []
         for text in b.column("text"):
             s = shingles(text.as_py())
-            rows.append((len(s), *set_digest(s), _ORDERS.minima(s).tobytes() if len(s) else b""))
+            rows.append((len(s), *set_digest(s), signature(s).tobytes() if len(s) else b""))
         if rows:
-            yield batch(schema, b.column("doc_id"), *zip(*rows, strict=True))
+            yield batch(schema, b.column("node"), *zip(*rows, strict=True))
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, SYMBOLS)
+
+
+def buckets(signatures: np.ndarray) -> np.ndarray:
+    """The names of each signature's buckets: which symbols they hold, and those symbols."""
+    chunks = signatures.astype(np.int64).reshape(len(signatures), -1, CHUNK)
+    spot, out = np.arange(chunks.shape[1], dtype=np.int64) * CHUNK, []
+    for left_out in range(CHUNK):
+        x, y = (chunks[:, :, i] for i in range(CHUNK) if i != left_out)
+        out.append(((spot + left_out) << (2 * BITS)) | (x << BITS) | y)
+    return np.concatenate(out, 1)
 
 
 def _bucket_rows(batches):
-    """Thirty rows for each set: the bucket, and the low bytes of the symbols."""
-    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("signature", pa.binary())])
-    for b in batches:
-        for at in range(0, b.num_rows, 1000):
-            part = b.slice(at, 1000)
-            minima = np.frombuffer(b"".join(part.column("minima").to_pylist()), np.uint64).reshape(-1, SYMBOLS)
-            chunks = minima.reshape(len(minima), -1, CHUNK)
-            buckets = []
-            for out in range(CHUNK):
-                x, y = (chunks[:, :, i] for i in range(CHUNK) if i != out)
-                z = (x ^ _SALT[:, out]) * np.uint64(0xBF58476D1CE4E5B9)
-                buckets.append(((z ^ (z >> np.uint64(31))) + y) * np.uint64(0x94D049BB133111EB))
-            buckets = np.concatenate(buckets, 1)
-            low = (minima >> np.uint64(40)).astype(np.uint8)
-            times = buckets.shape[1]
-            yield batch(
-                schema,
-                buckets.ravel().view(np.int64),
-                np.repeat(part.column("node").to_numpy(), times),
-                np.repeat(part.column("n").to_numpy(), times),
-                np.repeat(np.array([r.tobytes() for r in low], object), times),
-            )
-
-
-def _signatures(b: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint8).reshape(-1, SYMBOLS)
-
-
-def _close(sig: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs of rows have sizes that allow the similarity and signatures within the distance."""
-    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-    ok = 100 * small >= PERCENT * large
-    ok[ok] = (sig[i[ok]] != sig[j[ok]]).sum(1) <= DISTANCE
-    return ok
-
-
-def _groups(batches, least: int = 2):
-    """Complete buckets of partitions sorted by bucket, some at a time."""
-    rest = None
+    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
     for b in batches:
-        if rest is not None and rest.num_rows:
-            b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0]
-        if b.num_rows:
-            k = b.column("bucket").to_numpy()
-            cut = int(np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))[-1])
-            if cut:
-                yield b.slice(0, cut)
-            rest = b.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield rest
+        for at in range(0, b.num_rows, 4096):
+            part = b.slice(at, 4096)
+            found = buckets(_signatures(part.column("signature")))
+            yield batch(schema, found.ravel(), np.repeat(part.column("node").to_numpy(), found.shape[1]))
 
 
-def _led(batches):
-    """Rows of buckets with two members at least, each with its bucket's least member and whether that is close."""
-    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("signature", pa.binary()), ("leader", pa.int64()), ("near", pa.bool_())])
-    leader = None  # of the bucket that the last batch ended in: bucket, node, n, signature
+def _within(batches):
+    """Pairs whose sizes allow the similarity and whose signatures are within the distance."""
     for b in batches:
-        if not b.num_rows:
-            continue
-        k, node, n, sig = b.column("bucket").to_numpy(), b.column("node").to_numpy(), b.column("n").to_numpy(), _signatures(b)
-        if leader is not None:
-            k, node, n = np.concatenate([[leader[0]], k]), np.concatenate([[leader[1]], node]), np.concatenate([[leader[2]], n])
-            sig = np.concatenate([leader[3][None], sig])
-        new = np.concatenate([[True], k[1:] != k[:-1]])
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        rows = np.flatnonzero(first != np.arange(len(k)))
-        near = _close(sig, n, first[rows], rows)
-        led = np.unique(first[rows]) if len(rows) else rows
-        if leader is not None and leader[4] and len(led) and led[0] == 0:
-            led = led[1:]
-        told = leader is not None and leader[4] and k[0] == k[-1]
-        end = int(first[-1])
-        leader = (k[end], node[end], n[end], sig[end], told or bool(len(rows)) and int(first[rows[-1]]) == end)
-        every = np.concatenate([led, rows]).astype(int)
-        yield batch(
-            schema, k[every], node[every], n[every], np.array([s.tobytes() for s in sig[every]], object),
-            np.concatenate([node[led], node[first[rows]]]), np.concatenate([np.zeros(len(led), bool), near]),
-        )
+        if b.num_rows:
+            x, y = b.column("n_u").to_numpy(), b.column("n_v").to_numpy()
+            ok = 100 * np.minimum(x, y) >= PERCENT * np.maximum(x, y)
+            ok &= (_signatures(b.column("s_u")) != _signatures(b.column("s_v"))).sum(1) <= DISTANCE
+            yield batch(_PAIRS, b.column("u").to_numpy()[ok], b.column("v").to_numpy()[ok])
 
 
-_PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+def _reaches(shared: np.ndarray | int, x: np.ndarray | int, y: np.ndarray | int):
+    return 100 * shared >= PERCENT * (x + y - shared)
 
 
-def _other_pairs(b: pa.RecordBatch):
-    """Indices (i, j) and distances of close rows of one bucket and different components, a step of rows at a time."""
-    k, n, c, sig = *(b.column(x).to_numpy() for x in ("bucket", "n", "component")), _signatures(b)
-    here, step = np.arange(len(k)), 1
-    while True:
-        here = here[here + step < len(k)]
-        here = here[k[here] == k[here + step]]
-        if not len(here):
-            return
-        i = here[c[here] != c[here + step]]
-        i = i[100 * np.minimum(n[i], n[i + step]) >= PERCENT * np.maximum(n[i], n[i + step])]
-        apart = (sig[i] != sig[i + step]).sum(1)
-        ok = apart <= DISTANCE
-        if ok.any():
-            yield i[ok], i[ok] + step, apart[ok]
-        step += 1
-
-
-def _sorted_pairs(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-    u, v = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
-    return batch(_PAIRS, u, v)
-
-
-def _nearest_other(batches):
-    """For each row of a bucket the nearest one of another component."""
-    for b in _groups(batches):
-        best, at = np.full(b.num_rows, DISTANCE + 1), np.full(b.num_rows, -1)
-        for i, j, apart in _other_pairs(b):
-            for x, y in ((i, j), (j, i)):
-                less = apart < best[x]
-                best[x[less]], at[x[less]] = apart[less], y[less]
-        node, some = b.column("node").to_numpy(), np.flatnonzero(at >= 0)
-        if len(some):
-            yield _sorted_pairs(node[some], node[at[some]])
-
-
-def _component_pairs(batches):
-    """Components with close rows in one bucket."""
-    for b in _groups(batches):
-        c = b.column("component").to_numpy()
-        found = [np.unique(np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])]), axis=1) for i, j, _ in _other_pairs(b)]
-        if found:
-            yield _sorted_pairs(*np.concatenate(found, 1))
-
-
-def _full_sets(batches):
+def _led(batches):
+    """Confirmed links of rows sorted by leader, part and side: a leader's text, then those that meet it."""
+    leader, own = None, None
+    for b in batches:
+        u, v = [], []
+        for at, side, node, text in zip(b.column("u").to_pylist(), b.column("side").to_pylist(), b.column("node").to_pylist(), b.column("text"), strict=True):
+            s = shingles(text.as_py())
+            if side == 0:
+                leader, own = at, s
+            elif at == leader:
+                place = np.minimum(np.searchsorted(own, s), len(own) - 1)
+                if _reaches(int((own[place] == s).sum()), len(own), len(s)):
+                    u.append(at)
+                    v.append(node)
+        yield batch(_PAIRS, u, v)
+
+
+def _confirmed(scratch: Scratch, texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of pairs (u, v) those whose full sets reach the similarity. The sets that meet one u are split, and
+    each part gets u's text once."""
+    parts = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("long").alias("parts"))
+    visitors = pairs.join(parts, "u").select("u", F.pmod(F.xxhash64("v"), "parts").alias("part"), F.lit(1).alias("side"), F.col("v").alias("node"))
+    leaders = parts.select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("u").alias("node"))
+    rows = visitors.unionByName(leaders).join(texts, "node")
+    met = rows.repartition("u", "part").sortWithinPartitions("u", "part", "side", "node")
+    return scratch.write(met.select("u", "side", "node", "text").mapInArrow(_led, "u long, v long"))
+
+
+def _members(batches):
+    """A row for each shingle of each set."""
+    schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("component", pa.int64())])
+    for b in batches:
+        nodes, of, texts = b.column("node").to_numpy(), b.column("component").to_numpy(), b.column("text")
+        out, held, begin = [], 0, 0
+        for i, text in enumerate(texts):
+            out.append(shingles(text.as_py()).view(np.int64))
+            held += len(out[-1])
+            if held > 1 << 17 or i + 1 == len(texts):
+                size = [len(x) for x in out]
+                yield batch(schema, np.concatenate(out), np.repeat(nodes[begin : i + 1], size), np.repeat(of[begin : i + 1], size))
+                out, held, begin = [], 0, i + 1
+
+
+def _supported(scratch: Scratch, texts: DataFrame, named: DataFrame, rounds: int = 4) -> DataFrame:
+    """node, component, n of the sets that have enough of their shingles in sets of other components.
+
+    named: node, component, n."""
+    members = scratch.write(texts.join(named, "node").select("node", "component", "text").mapInArrow(_members, "shingle long, node long, component long"))
+    left, before = scratch.write(named), None
+    for _ in range(rounds):
+        here = members if before is None else members.join(left.select("node"), "node", "left_semi")
+        spread = here.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
+        shared = here.join(spread, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+        kept = scratch.write(left.join(shared, "node").filter(F.col("shared") * 100 >= F.col("n") * PERCENT).select("node", "component", "n"))
+        scratch.drop(left)
+        left, before, now = kept, now if before is not None else -1, kept.count()
+        if now == before or not now:
+            break
+    scratch.drop(members)
+    return left
+
+
+def _joining(batches):
+    """Links that join components, of rows sorted by bucket and block: sets of a block are held together."""
+    rows: list[tuple] = []
+
+    def links():
+        sets = [shingles(t) for *_, t in rows]
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        members, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(members, kind="stable")
+        members, of = members[order], of[order]
+        _, label = np.unique([r[2] for r in rows], return_inverse=True)
+        u, v = [], []
+        for i, own in enumerate(sets):
+            a, b = np.searchsorted(members, own, "left"), np.searchsorted(members, own, "right")
+            n = b - a
+            ends = np.cumsum(n)
+            shared = np.bincount(of[np.repeat(a - (ends - n), n) + np.arange(int(ends[-1]))], minlength=len(sets))
+            for j in np.flatnonzero(_reaches(shared, size, len(own)) & (label != label[i])):
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+                    u.append(rows[i][1])
+                    v.append(rows[j][1])
+        return batch(_PAIRS, u, v)
+
+    spot = None
     for b in batches:
-        sets = [shingles(t.as_py()).view(np.int64) for t in b.column("text")]
-        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "members"])
-
-
-def _confirmed(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the similarity."""
-    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = scratch.write(docs.join(wanted, "node", "left_semi").mapInArrow(_full_sets, "node long, members array<long>"))
-    with_u = pairs.join(sets.select(F.col("node").alias("u"), F.col("members").alias("x")), "u")
-    both = with_u.join(sets.select(F.col("node").alias("v"), F.col("members").alias("y")), "v")
-    shared = F.size(F.array_intersect("x", "y"))
-    ok = shared * 100 >= (F.size("x") + F.size("y") - shared) * PERCENT
-    out = scratch.write(both.filter(ok).select("u", "v"))
-    scratch.drop(sets)
-    return out
-
-
-def _meeting(key, owners: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
-    """For each visiting set an owner's set that it reaches the similarity with, if there is one."""
-    if not len(owners) or not len(visitors):
-        return pd.DataFrame({"u": [], "v": []})
-    size = owners.members.map(len).to_numpy()
-    members, of = np.concatenate(owners.members.to_list()), np.repeat(np.arange(len(size)), size)
-    order = np.argsort(members, kind="stable")
-    members, of, out = members[order], of[order], []
-    for node, own in zip(visitors.node, visitors.members, strict=True):
-        a, b = np.searchsorted(members, own, "left"), np.searchsorted(members, own, "right")
-        n = b - a
-        ends = np.cumsum(n)
-        shared = np.bincount(of[np.repeat(a - (ends - n), n) + np.arange(int(ends[-1]))], minlength=len(size))
-        hit = np.flatnonzero(100 * shared >= PERCENT * (size + len(own) - shared))
-        if len(hit):
-            out.append((node, owners.node.iloc[hit[0]]))
-    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
-
-
-def _exhausted(scratch: Scratch, docs: DataFrame, pairs: DataFrame, sized: DataFrame, sets_of: DataFrame) -> DataFrame:
-    """Links between components (u, v) all of whose sets are compared, blocks of the larger one's with
-    blocks of the smaller one's, so that the rows follow the sets and not their pairs.
-
-    sized: component, size; sets_of: node, component (of every node)."""
-    a, b = (sized.select(F.col("component").alias(c), F.col("size").alias(f"{c}_size")) for c in ("u", "v"))
-    both = pairs.join(a, "u").join(b, "v")
-    larger = F.col("u_size") >= F.col("v_size")
-    met = scratch.write(both.select(
-        F.when(larger, F.col("u")).otherwise(F.col("v")).alias("owner"), F.when(larger, F.col("v")).otherwise(F.col("u")).alias("visitor"),
-        F.greatest("u_size", "v_size").alias("held"), F.least("u_size", "v_size").alias("coming"),
-    ))
-    wanted = met.select(F.col("owner").alias("component")).unionByName(met.select(F.col("visitor").alias("component"))).distinct()
-    nodes = sets_of.join(wanted, "component")
-    sets = scratch.write(docs.join(nodes.select("node"), "node", "left_semi").mapInArrow(_full_sets, "node long, members array<long>"))
-    full = sets.join(nodes, "node")
-    shares = met.groupBy("owner").agg(F.max("held").alias("held"), F.sum("coming").alias("coming"))
-    shares = shares.select("owner", F.ceil(F.col("held") / BLOCK).cast("long").alias("blocks"), F.ceil(F.col("coming") / BLOCK).cast("long").alias("parts"))
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    spot = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    owners = full.join(shares, full["component"] == shares["owner"]).select("owner", spot("blocks").alias("block"), each("parts").alias("part"), F.col("node").alias("node"), F.col("members").alias("members"))
-    visitors = met.select("owner", F.col("visitor").alias("component")).join(shares, "owner").join(full, "component")
-    visitors = visitors.select("owner", each("blocks").alias("block"), spot("parts").alias("part"), "node", "members")
-    on = ["owner", "block", "part"]
-    out = scratch.write(owners.groupBy(*on).cogroup(visitors.groupBy(*on)).applyInPandas(_meeting, "u long, v long"))
-    scratch.drop(met, sets)
-    return out
-
-
-def _settle(spark: SparkSession) -> None:
-    gc.collect()
-    spark._jvm.System.gc()
+        for key, node, component, text in zip(
+            zip(*(b.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True), b.column("node").to_pylist(), b.column("component").to_pylist(), b.column("text").to_pylist(), strict=True
+        ):
+            if key != spot and rows:
+                yield links()
+                rows = []
+            spot = key
+            rows.append((key, node, component, text))
+    if rows:
+        yield links()
+
+
+def _several(labelled: DataFrame) -> DataFrame:
+    """Rows (bucket, node, component, n) of the buckets that hold several components."""
+    spread = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("n").alias("held")).filter("x < y")
+    return labelled.join(spread.select("bucket", "held"), "bucket")
+
+
+def _exhausted(scratch: Scratch, texts: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Links between components, of all sets that share a bucket. A bucket's sets are dealt to blocks, and
+    every two blocks meet."""
+    rows = _several(labelled).withColumn("blocks", F.ceil(F.col("held") / BLOCK).cast("long")).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component")
+    met = met.join(texts, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+    return scratch.write(met.mapInArrow(_joining, "u long, v long").distinct())
 
 
 def _edges(found: DataFrame) -> DataFrame:
     return found.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
-def _in_mixed_buckets(led: DataFrame, found: DataFrame, step) -> DataFrame:
-    """Pairs (u, v) that a step finds in the buckets that hold several components."""
-    labelled = led.join(found, "node", "left").select("bucket", "node", "n", "signature", F.coalesce("component", "node").alias("component"))
-    several = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-    rows = labelled.join(several, "bucket").repartition("bucket").sortWithinPartitions("bucket", "node")
-    return rows.mapInArrow(step, "u long, v long").distinct()
+def classes(scratch: Scratch, docs: DataFrame) -> DataFrame:
+    """node, n_shingles, component: the least node that links reach, for every row (node, text) of a written
+    table whose nodes are unique."""
+    sets = scratch.write(docs.select("node", "text").mapInArrow(_sets, SETS))
+    same = ["n", "a", "b"]
+    filled = sets.filter("n > 0")
+    nodes = scratch.write(filled.groupBy(*same).agg(F.min("node").alias("node"), F.first("signature").alias("signature")))
+    rows = scratch.write(nodes.select("node", "signature").mapInArrow(_bucket_rows, "bucket long, node long"))
+    leaders = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").select("bucket", "leader")
+    led = scratch.write(rows.join(leaders, "bucket").select("bucket", "node", "leader"))
+    scratch.drop(rows)
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}"))
+    stars = led.filter("leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
+    stars = scratch.write(stars.join(side("u"), "u").join(side("v"), "v").mapInArrow(_within, "u long, v long"))
+    texts = scratch.write(docs.select("node", "text").join(led.select("node").distinct(), "node", "left_semi"))
+    first = scratch.write(components(scratch, _confirmed(scratch, texts, stars)))
+    named = nodes.select("node", "n").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = scratch.write(_several(led.select("bucket", "node").join(named, "node")).select("bucket", "node", "component", "n"))
+    left = _supported(scratch, texts, labelled.select("node", "component", "n").distinct())
+    more = _exhausted(scratch, texts, labelled.join(left.select("node"), "node", "left_semi"))
+    final = scratch.write(components(scratch, _edges(first).unionByName(more)))
+    scratch.drop(led, stars, texts, labelled, left)
+    own = nodes.join(final, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
+    full = filled.drop("signature").join(own, same).select("node", F.col("n").alias("n_shingles"), "component")
+    return full.unionByName(sets.filter("n = 0").select("node", F.col("n").alias("n_shingles"), F.col("node").alias("component")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
     scratch = Scratch(spark, "near")
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("node"), "text")
-    sets = scratch.write(keyed.select(F.col("node").alias("doc_id"), "text").mapInArrow(_sets, SETS))
-    filled = sets.filter("n_shingles > 0")
-    same = ["n_shingles", "a", "b"]
-    nodes = filled.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("minima").alias("minima"))
-    nodes = scratch.write(nodes.withColumnRenamed("n_shingles", "n"))
-    rows = nodes.select("node", "n", "minima").mapInArrow(_bucket_rows, "bucket long, node long, n long, signature binary")
-    led = scratch.write(
-        rows.repartition("bucket").sortWithinPartitions("bucket", "node")
-        .mapInArrow(_led, "bucket long, node long, n long, signature binary, leader long, near boolean")
-    )
-    _settle(spark)
-    stars = scratch.write(led.filter("near AND leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
-    links = _confirmed(scratch, keyed, stars)
-    _settle(spark)
-    first = scratch.write(components(scratch, links))
-    nearest = scratch.write(_in_mixed_buckets(led, first, _nearest_other).join(stars, ["u", "v"], "left_anti"))
-    _settle(spark)
-    more = _confirmed(scratch, keyed, nearest)
-    second = scratch.write(components(scratch, _edges(first).unionByName(more)))
-    left = _in_mixed_buckets(led, second, _component_pairs)
-    named = nodes.select("node").join(second, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    sized = named.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    alone = sized.filter("size = 1").select("component")
-    tested = stars.unionByName(nearest)
-    tested = tested.join(alone.select(F.col("component").alias("u")), "u").join(alone.select(F.col("component").alias("v")), "v")
-    left = scratch.write(left.join(tested, ["u", "v"], "left_anti"))
-    _settle(spark)
-    last = _exhausted(scratch, keyed, left, sized, named)
-    final = scratch.write(components(scratch, _edges(second).unionByName(last)))
-    scratch.drop(led, stars, nearest, left, first, second)
-    _settle(spark)
-    own = nodes.join(final, "node", "left").select(F.col("n").alias("n_shingles"), "a", "b", F.coalesce("component", "node").alias("component_id"))
-    full = sets.filter("n_shingles > 0").drop("minima").join(own, same).select("doc_id", "n_shingles", "component_id")
-    bare = sets.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    result = full.unionByName(bare)
-    shown = [F.when(F.col(c) != _NULL_ID, F.col(c)).alias(c) for c in ("doc_id", "component_id")]
-    return result.select(shown[0], "n_shingles", shown[1], (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    rows = numbered(scratch, docs.select(F.col("doc_id").cast("long"), "text"), "node")
+    found = scratch.write(classes(scratch, rows).join(rows.select("node", "doc_id"), "node"))
+    least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.join(least, "component").select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` of which each component keeps one, with all their columns. Every row is a document
     of its own: the smallest id stays, a null id counts as the largest, and of rows that share it any one."""
-    rows = numbered(Scratch(spark, "near-rows"), docs, ROW)
-    found = near_duplicates(spark, rows.select(F.col(ROW).alias("doc_id"), "text"))
-    members = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    scratch = Scratch(spark, "near-rows")
+    rows = numbered(scratch, docs, ROW)
+    found = classes(scratch, rows.select(F.col(ROW).alias("node"), "text")).select(F.col("node").alias(ROW), "component")
+    members = found.join(rows.select(ROW, "doc_id"), ROW)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))
-    first = members.groupBy("component_id").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    gone = members.join(first, "component_id").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW)
+    first = members.groupBy("component").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    gone = members.join(first, "component").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW)
     return rows.join(gone, ROW, "left_anti").select(*docs.columns)
