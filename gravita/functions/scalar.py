@@ -63,3 +63,8 @@ def little_endian(data: Column, at: int, size: int) -> Column:
     for i in range(1, size):
         out = out + byte(i) * F.lit(1 << (8 * i)).cast("long")
     return out
+
+
+def stripped(column: str) -> Column:
+    """Without white space at either end."""
+    return F.btrim(F.col(column), F.lit(" \t\n\r\x0b\x0c"))

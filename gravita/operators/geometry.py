@@ -131,6 +131,65 @@ def thinned(p: np.ndarray, tolerance: float) -> np.ndarray:
     return p[keep]
 
 
+class Grid:
+    """Transverse Mercator metres about a meridian, by series in the third flattening (good to a millimetre
+    within some degrees)."""
+
+    def __init__(self, meridian: float, scale: float = 0.9996):
+        n = (_A - _B) / (_A + _B)
+        self.meridian, self.n, self.radius = np.radians(meridian), n, scale * _A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+        self.out = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+        self.back = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+        self.lift = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+
+    def metres(self, p: np.ndarray) -> np.ndarray:
+        """East and north of longitudes and latitudes."""
+        lon, s, k = np.radians(p[:, 0]) - self.meridian, np.sin(np.radians(p[:, 1])), 2 * np.sqrt(self.n) / (1 + self.n)
+        t = np.sinh(np.arctanh(s) - k * np.arctanh(k * s))
+        north, east = np.arctan2(t, np.cos(lon)), np.arctanh(np.sin(lon) / np.sqrt(1 + t * t))
+        more = [(c, 2 * j) for j, c in enumerate(self.out, 1)]
+        return self.radius * np.stack([
+            east + sum(c * np.cos(j * north) * np.sinh(j * east) for c, j in more), north + sum(c * np.sin(j * north) * np.cosh(j * east) for c, j in more)
+        ], 1)
+
+    def degrees(self, p: np.ndarray) -> np.ndarray:
+        """Longitudes and latitudes of east and north."""
+        east, north = p[:, 0] / self.radius, p[:, 1] / self.radius
+        less = [(c, 2 * j) for j, c in enumerate(self.back, 1)]
+        north, east = north - sum(c * np.sin(j * north) * np.cosh(j * east) for c, j in less), east - sum(c * np.cos(j * north) * np.sinh(j * east) for c, j in less)
+        chi = np.arcsin(np.sin(north) / np.cosh(east))
+        lat = chi + sum(c * np.sin(2 * j * chi) for j, c in enumerate(self.lift, 1))
+        return np.degrees(np.stack([self.meridian + np.arctan2(np.sinh(east), np.cos(north)), lat], 1))
+
+
+def cleaned(rings: list[np.ndarray], grid: Grid, snap: float, least_area: float, tolerance: float, places: int = 5) -> list[np.ndarray] | None:
+    """The rings of one polygon after its points were snapped to a grid of metres and thinned, in rounded
+    degrees; none if its area in square metres isn't more than the least. Rings that collapse go."""
+    flat = []
+    for r in rings:
+        p = np.round(grid.metres(r) / snap) * snap
+        p = p[np.concatenate([[True], (np.diff(p, axis=0) != 0).any(1)])]
+        if len(p) > 3 and (p[0] == p[-1]).all() and _ring_area(p):
+            flat.append(p)
+    if not flat or abs(_ring_area(flat[0])) - sum(abs(_ring_area(h)) for h in flat[1:]) <= least_area:
+        return None
+    half = lambda p: len(p) // 2
+    thin = [np.concatenate([thinned(p[: half(p) + 1], tolerance), thinned(p[half(p) :], tolerance)[1:]]) for p in flat]
+    return [np.round(grid.degrees(p), places) for p in thin if len(p) > 3]
+
+
+def clean_outline(rings: str, meridian: float, snap: float = 0.5, least_area: float = 0.0, tolerance: float = 0.25) -> Column:
+    """Column form of ``cleaned``; null for polygons that go."""
+    grid = Grid(meridian)
+
+    @F.pandas_udf("array<array<array<double>>>")
+    def clean(values: pd.Series) -> pd.Series:
+        found = [None if v is None or not len(v) else cleaned(_rings(v), grid, snap, least_area, tolerance) for v in values]
+        return pd.Series([None if not f else [r.tolist() for r in f] for f in found])
+
+    return clean(F.col(rings))
+
+
 def simplified(rings: str, tolerance: float) -> Column:
     @F.pandas_udf("array<array<array<double>>>")
     def thin(values: pd.Series) -> pd.Series:

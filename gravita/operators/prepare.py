@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..functions.scalar import coerced, first_filled, padded, required, try_double, weights_map
+from ..functions.scalar import coerced, first_filled, padded, required, stripped, try_double, weights_map
 from ..sources.readers import rings
+from .geometry import clean_outline
 from .tables import enumerate_rows, last_wins
 
 #: Fixed value: names under which an area's id may stand.
@@ -32,7 +33,7 @@ def reprojected(features: DataFrame) -> DataFrame:
 def checked_stats(stats: DataFrame) -> DataFrame:
     """Statistics with text keys trimmed; of repeated keys the last row (column ord); negatives are an error."""
     bad = (F.col("population") < 0) | (F.col("jobs") < 0)
-    keyed = stats.withColumn("area_id", F.trim("area_id"))
+    keyed = stats.withColumn("area_id", stripped("area_id"))
     keyed = keyed.withColumn("jobs", F.when(bad, F.raise_error(F.lit("negative census statistics")).cast("double")).otherwise(F.col("jobs")))
     return last_wins(keyed, "area_id", "ord")
 
@@ -48,7 +49,7 @@ def filtered_workplaces(raw: DataFrame, year: int, bbox) -> DataFrame:
     """longitude, latitude, band of the year's rows with coordinates in the box. A year that is no number
     is an error, a coordinate that is none skips its row."""
     ok = raw.filter(F.col("anio").cast("int") == year)
-    ok = ok.select(try_double("lon").alias("longitude"), try_double("lat").alias("latitude"), F.trim("empleo").alias("band"))
+    ok = ok.select(try_double("lon").alias("longitude"), try_double("lat").alias("latitude"), stripped("empleo").alias("band"))
     return ok.filter(geo.inside(F.col("longitude"), F.col("latitude"), bbox))
 
 
@@ -106,6 +107,13 @@ def boundary_segments(areas: DataFrame) -> DataFrame:
     )
 
 
+def cleaned_buildings(features: DataFrame, meridian: float, least_area: float, snap: float = 0.5, tolerance: float = 0.25) -> DataFrame:
+    """Building outlines, one row for each part of more than an area: projected to metres about a meridian,
+    snapped, thinned and taken back to degrees of five places (column shape)."""
+    parts = single_parts(features, 9)
+    return parts.withColumn("shape", clean_outline("shape", meridian, snap, least_area, tolerance)).filter("shape IS NOT NULL")
+
+
 def single_parts(features: DataFrame, places: int = 5) -> DataFrame:
     """MultiPolygons as one row for each part, coordinates rounded."""
     single = F.array(F.from_json("coordinates", "array<array<array<double>>>"))

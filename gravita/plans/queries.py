@@ -556,15 +556,32 @@ def edge_costs(spark, sf_dir):
     return gravity.edge_costs(flows, origins).select("o", "d", F.round("cost", 4).alias("cost"))
 
 
-@query()
-def transport(spark, sf_dir):
-    """Balanced flows on whole numbers over the zones' graph; both margins are exact."""
+def _transported(spark, sf_dir):
     edges = tables.kept(_graph(spark, sf_dir, 15))
     a = edges.select("o").distinct().withColumn("target", (100 + F.col("o") % 3).cast("long"))
     n = a.agg(F.sum("target").alias("total")).crossJoin(edges.agg(F.count_distinct("d").alias("n"), F.max("d").alias("last")))
     share = F.floor(F.col("total") / F.col("n"))
     b = tables.only_row(edges.select("d").distinct(), n).select("d", (share + F.when(F.col("d") == F.col("last"), F.col("total") - share * F.col("n")).otherwise(0)).cast("long").alias("target"))
-    return gravity.transported(edges, a, b, 0.5, 2000, 16.0, 15).select("o", "d", "size")
+    return gravity.transported(edges, a, b, 0.5, 2000, 16.0, 15), a, b
+
+
+@query()
+def transport(spark, sf_dir):
+    """Balanced flows on whole numbers over the zones' graph; both margins are exact."""
+    return _transported(spark, sf_dir)[0].select("o", "d", "size")
+
+
+@query(f"WITH {ZONED} SELECT 'o' AS side, zone AS key, true AS met FROM zones UNION ALL SELECT 'd', zone, true FROM zones")
+def balanced_margins(spark, sf_dir):
+    """Proportional fitting goes on until every margin is within its tolerance."""
+    flows, a, b = _transported(spark, sf_dir)
+    flows = tables.kept(flows)
+
+    def side(c, targets):
+        both = flows.groupBy(c).agg(F.sum("w").alias("w")).join(targets, c)
+        return both.select(F.lit(c).alias("side"), F.col(c).alias("key"), (F.abs(F.col("w") - F.col("target")) < 0.5).alias("met"))
+
+    return side("o", a).unionByName(side("d", b))
 
 
 @query(f"""WITH {ZONED}, n AS (SELECT count(*) AS n, sum(100 + zone % 3) AS total, max(zone) AS last FROM zones)
@@ -624,6 +641,17 @@ def explode_multipart(spark, sf_dir):
     return prepare.single_parts(rows).select(F.col("area_id").cast("int").alias("n_nationkey"), "part", F.col("shape")[0][0][0].alias("x"))
 
 
+@query("""WITH f AS (SELECT o_orderkey, 1 + o_orderkey % 12 AS side FROM orders) SELECT o_orderkey, 5 AS points FROM f WHERE side >= 7""")
+def clean_buildings(spark, sf_dir):
+    """Rectangles of 1 to 12 hundred-thousandths of a degree: those of more than 40 square metres keep their corners."""
+    f = views.footprints(spark, sf_dir).select("height", "bbox.*")
+    corner = lambda x, y: F.concat(F.lit("["), F.col(x), F.lit(","), F.col(y), F.lit("]"))
+    ring = F.concat_ws(",", corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"), corner("xmin", "ymin"))
+    features = f.select(F.col("height").cast("long").alias("o_orderkey"), F.lit("Polygon").alias("type"), F.concat(F.lit("[["), ring, F.lit("]]")).alias("coordinates"))
+    found = prepare.cleaned_buildings(features, -57.0, 40.0, snap=0.01)
+    return found.select("o_orderkey", F.size(F.col("shape")[0]).alias("points"))
+
+
 @query(f"WITH {_FEATURES} SELECT area_id, round((west + east) / 2e0, 6) AS lon, round((south + north) / 2e0, 6) AS lat FROM bounded")
 def representative_point(spark, sf_dir):
     shaped = prepare.reprojected(readers.rings(prepare.with_area_id(_features(spark, sf_dir))))
