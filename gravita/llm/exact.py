@@ -7,7 +7,9 @@ of those can hold more than ``heavy_share`` of the rows.
 
 Defined results: null text counts as empty; equal means identical after no change; of equal texts the
 row with the largest doc_id stays; a null doc_id loses to any other; rows that repeat a doc_id count
-one by one; an empty table gives an empty result. Extra columns are ignored.
+one by one, and of those that share the largest doc_id any one stays, so each group keeps exactly one row;
+whole texts are hashed, however long; an empty table gives an empty result; other columns, whatever their
+names, are not read (``drop_exact_duplicates`` keeps them).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, numbered
+from .common import Scratch, batch, frugal, numbered
 
 #: Counters a summary may hold, and the share of all rows from which a digest counts as heavy.
 COUNTERS = 1024
@@ -44,6 +46,7 @@ def misra_gries(items, held: dict, counters: int) -> dict:
 def _summaries(counters: int):
     schema = pa.schema([("digest", pa.binary()), ("seen", pa.int64())])
 
+    @frugal
     def run(batches):
         held: dict = {}
         for b in batches:
@@ -79,27 +82,27 @@ def exact_duplicates(
 ) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of ``docs``."""
     scratch = Scratch(spark, "exact")
-    digests = scratch.write(digests_of(docs, id_col, text_col))
+    digests = numbered(scratch, digests_of(docs, id_col, text_col), ROW)
     heavy = heavy_digests(digests, counters, heavy_share)
     winners = (
         digests.join(F.broadcast(heavy), "digest", "left_semi")
         .groupBy("digest")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .agg(F.max(F.struct("doc_id", ROW)).alias("top"), F.count(F.lit(1)).alias("group_size"))
     )
     marked = digests.join(F.broadcast(winners.withColumn("hot", F.lit(True))), "digest", "left")
     group = Window.partitionBy("digest")
     light = (
         marked.filter(F.col("hot").isNull())
-        .select("doc_id", "digest")
-        .withColumn("keep_id", F.max("doc_id").over(group))
+        .select("doc_id", ROW, "digest")
+        .withColumn("top", F.max(F.struct("doc_id", ROW)).over(group))
         .withColumn("group_size", F.count(F.lit(1)).over(group))
     )
-    rows = marked.filter(F.col("hot").isNotNull()).select("doc_id", "digest", "keep_id", "group_size").unionByName(light)
+    rows = marked.filter(F.col("hot").isNotNull()).select("doc_id", ROW, "digest", "top", "group_size").unionByName(light)
     return rows.select(
         "doc_id",
-        "keep_id",
+        F.col("top.doc_id").alias("keep_id"),
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        (F.col(ROW) == F.col(f"top.{ROW}")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 

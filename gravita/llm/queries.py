@@ -76,7 +76,7 @@ SQL: dict[str, str] = {
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
                count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
-               doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
+               row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
