@@ -10,7 +10,9 @@ under 1 - ``SURE``. That test also decides which cells a query enters after its
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part; rows that repeat a vec_id with the same vector count once; ties go to the
-smaller vec_id; an empty table gives an empty result. Of identical vectors only the k + 1 smallest ids
+smaller vec_id; of rows that repeat a vec_id with other vectors each is a candidate, and the vec_id's best
+score counts; rows without a vec_id take no part; an empty table gives an empty result; other columns,
+whatever their names, are not read. Of identical vectors only the k + 1 smallest ids
 are indexed, as no query can be nearer to any other.
 """
 
@@ -195,7 +197,7 @@ def nearest(
     size = np.array([r.n for r in boxes])
     low, high = (np.array([[r[f"{n}{i}"] for i in range(DIMS)] for r in boxes]) for n in ("low", "high"))
     parts = -(-size // block)
-    groups = -(-queries.count() // QUERIES)
+    queried = not queries.isEmpty()
 
     def homes(batches):
         """Blocks of the nearest cells that are large enough to give a bound."""
@@ -232,9 +234,8 @@ def nearest(
             take = pa.array(np.array(at, np.int64))
             yield batch(schema, b.column("vec_id").take(take), b.column("v").take(take), bound[np.array(at, np.int64)], cell, part)
 
-    block_of = {int(c): int(n) for c, n in zip(cell_ids, parts, strict=True)}
-    n_parts = F.create_map(*[F.lit(x) for pair in block_of.items() for x in pair])[F.col("cell")]
-    data = cells.withColumn("part", F.pmod(F.xxhash64("vec_id"), n_parts)).select("vec_id", "v", "cell", "part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    blocks = spark.createDataFrame([(int(c), int(n)) for c, n in zip(cell_ids, parts, strict=True)], "cell long, parts long")  # at most CELLS rows
+    data = cells.join(F.broadcast(blocks), "cell").select("vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), "parts").alias("part"))
 
     def match(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
@@ -245,13 +246,18 @@ def nearest(
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
 
     def met(asked: DataFrame) -> DataFrame:
-        keyed = asked.withColumn("group", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
+        """Queries beside the blocks that they enter. A block goes out once for every QUERIES of them, and
+        not at all where none enters."""
+        asked = scratch.write(asked)
+        groups = asked.groupBy("cell", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("long").alias("groups"))
+        keyed = asked.join(groups, ["cell", "part"]).withColumn("group", F.pmod(F.xxhash64("query_id"), "groups")).drop("groups")
+        held = data.join(groups, ["cell", "part"]).withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
         on = ["cell", "part", "group"]
-        return keyed.groupBy(*on).cogroup(data.groupBy(*on)).applyInPandas(match, result)
+        return keyed.groupBy(*on).cogroup(held.groupBy(*on)).applyInPandas(match, result)
 
     asked = "query_id long, q array<double>, bound double, cell long, part long"
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    if groups == 0:
+    if not queried:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     first = scratch.write(met(queries.mapInArrow(homes, asked)).distinct())
     ranked = first.withColumn("rank", F.row_number().over(order))
