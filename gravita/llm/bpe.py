@@ -8,7 +8,9 @@ encoder steps back; a bit for each position keeps it from coming there again, so
 Decoding gathers bytes from one table of all tokens by their offsets.
 
 Defined results: null counts as empty and has no ids; the texts of added tokens become those tokens;
-bytes that are not UTF-8 decode to the replacement character.
+bytes that are not UTF-8 decode to the replacement character; whole texts are encoded, however long; rows
+that repeat a doc_id or have none are encoded one by one; ties cannot occur; an empty table gives an empty
+result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch
+from .common import batch, frugal
 from .tokens import PieceEncoder
 
 #: Fixed value: how byte-level BPE cuts text into words.
@@ -168,6 +170,7 @@ def loaded(path: str) -> tuple[Bpe, PieceEncoder]:
 def _round_trip(path: str):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
+    @frugal
     def run(batches):
         bpe, pieces = loaded(path)
         shown = [str(i) for i in range(len(bpe.bytes_at))]
@@ -195,6 +198,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids: the ids themselves."""
+    @frugal
     def run(batches):
         _, pieces = loaded(path)
         for b in batches:
@@ -209,6 +213,7 @@ def decoded(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     """doc_id, text: the texts of rows of doc_id, ids."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
+    @frugal
     def run(batches):
         bpe, _ = loaded(path)
         for b in batches:

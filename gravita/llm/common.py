@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import suppress
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the cluster names none."""
+    """The folder all executors share; one of our own only where none is named and all executors are this process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='gravita-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -46,10 +53,20 @@ class Scratch:
         out.scratch_path = path
         return out
 
+    def drop_all(self, *but: DataFrame) -> None:
+        """Delete all tables written here but those."""
+        kept = {t.scratch_path for t in but}
+        for i in range(1, self.count + 1):
+            if (path := f"{self.root}/t{i}") not in kept:
+                self._delete(path)
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(t.scratch_path)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(scratch: Scratch, docs: DataFrame, name: str) -> DataFrame:
@@ -80,6 +97,21 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def frugal(kernel: Callable) -> Callable:
+    """A function of batches that hands unused memory back when its task ends: workers live on beside others."""
+
+    @wraps(kernel)
+    def run(batches):
+        try:
+            yield from kernel(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def texts(column: pa.Array) -> list[str]:
     """Whole texts of a batch; null counts as empty."""
     return ["" if t is None else t for t in column.to_pylist()]

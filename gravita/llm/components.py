@@ -3,6 +3,9 @@
 Each large star hangs a node's larger neighbours on its least one, each small star its smaller ones, so
 paths shorten by a constant factor a round. Sets of edges are written out between rounds. A node with
 very many neighbours is met by map-side combining and by joins whose large partitions Spark can split.
+
+Defined results: edges may repeat, run either way or join a node to itself (such an edge links nothing); an
+edge with a null end links nothing; no edges give no nodes; other columns are not read.
 """
 
 from __future__ import annotations

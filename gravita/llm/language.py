@@ -7,7 +7,10 @@ least loss. Two codewords almost equally near flag the document as ambiguous.
 Defined results: a text that is null or has no letter gives ``und`` with score 0; the score is the
 softmax of the negative losses at the chosen language; with one learned language that one is returned
 with score 1, with none every text gives ``und``; ties between codewords go to the smaller language name.
-Whole texts are read; only the training rows are a sample, of at most ``sample`` documents.
+Whole texts are read, however long; only the training rows are a sample, of at most ``sample`` documents,
+chosen by a hash of the doc_id. Rows that share a doc_id or have none are predicted one by one. An empty
+table gives an empty result; other columns, whatever their names, are not read (``keep_identified`` keeps
+them).
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, bounded_sample, remainder, texts
+from .common import batch, bounded_sample, frugal, remainder, texts
 
 SAMPLE = 2000
 DIMENSIONS = 4096
@@ -109,6 +112,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Coder:
 def _predict(coder: Coder):
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
 
+    @frugal
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
@@ -137,6 +141,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE,
     coder = fit(docs, sample)
     decide = _predict(coder)
 
+    @frugal
     def run(batches):
         for b in batches:
             ids = pa.nulls(b.num_rows, pa.int64())

@@ -181,6 +181,7 @@ class PieceEncoder:
         at[first], size[first] = len(table.ids) + np.cumsum(n) - n, n
         ids = _gathered(held, at, size)
         table.forget(which, REMEMBERED)
+        pa.default_memory_pool().release_unused()
         return ids, np.concatenate([[0], np.cumsum(size, dtype=np.int64)])[cuts]
 
     def blocks(self, column: pa.Array):
