@@ -109,8 +109,15 @@ def exact_duplicates(
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` for each text, with all its columns: the largest id, of rows that share it any
-    one, and a row with a null id only where no other holds the text."""
-    rows = numbered(Scratch(spark, "exact-rows"), docs, ROW)
-    ranked = rows.select(F.struct(F.col(id_col), F.col(ROW)).alias("rank"), text_col)
-    gone = exact_duplicates(spark, ranked, "rank", text_col).filter(~F.col("kept")).select(F.col(f"doc_id.{ROW}").alias(ROW))
-    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
+    one, and a row with a null id only where no other holds the text. Only digests are written; the rows are
+    read again and meet the groups that have several."""
+    scratch = Scratch(spark, "exact-rows")
+    names = docs.columns
+    plain = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = exact_duplicates(spark, plain).filter("group_size > 1")
+    top = F.count_if(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    groups = scratch.write(found.groupBy("text_sha256").agg(F.first("keep_id").alias("keep_id"), top.alias("tied")))
+    marked = plain.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).join(groups, "text_sha256", "left")
+    kept = marked.filter(F.col("tied").isNull() | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("tied") == 1))).select("row")
+    one = marked.filter((F.col("tied") > 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("text_sha256").agg(F.first("row").alias("row"))
+    return kept.unionByName(one.select("row")).select("row.*")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, numbered
+from .common import Scratch, batch, frugal, numbered
 from .components import components
 from .shingles import Orders, mixed, set_digest, shingles
 
@@ -51,6 +51,7 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (mixed(_ORDERS.minima(s)) & np.uint64((1 << BITS) - 1)).astype("<u4")
 
 
+@frugal
 def _sets(batches):
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("signature", pa.binary())])
     for b in batches:
@@ -76,6 +77,7 @@ def buckets(signatures: np.ndarray) -> np.ndarray:
     return np.concatenate(out, 1)
 
 
+@frugal
 def _bucket_rows(batches):
     schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
     for b in batches:
@@ -85,6 +87,7 @@ def _bucket_rows(batches):
             yield batch(schema, found.ravel(), np.repeat(part.column("node").to_numpy(), found.shape[1]))
 
 
+@frugal
 def _within(batches):
     """Pairs whose sizes allow the similarity and whose signatures are within the distance."""
     for b in batches:
@@ -99,6 +102,7 @@ def _reaches(shared: np.ndarray | int, x: np.ndarray | int, y: np.ndarray | int)
     return 100 * shared >= PERCENT * (x + y - shared)
 
 
+@frugal
 def _led(batches):
     """Confirmed links of rows sorted by leader, part and side: a leader's text, then those that meet it."""
     leader, own = None, None
@@ -127,6 +131,7 @@ def _confirmed(scratch: Scratch, texts: DataFrame, pairs: DataFrame) -> DataFram
     return scratch.write(met.select("u", "side", "node", "text").mapInArrow(_led, "u long, v long"))
 
 
+@frugal
 def _members(batches):
     """A row for each shingle of each set."""
     schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("component", pa.int64())])
@@ -161,6 +166,7 @@ def _supported(scratch: Scratch, texts: DataFrame, named: DataFrame, rounds: int
     return left
 
 
+@frugal
 def _joining(batches):
     """Links that join components, of rows sorted by bucket and block: sets of a block are held together."""
     rows: list[tuple] = []
@@ -265,5 +271,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     members = found.join(rows.select(ROW, "doc_id"), ROW)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))
     first = members.groupBy("component").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    gone = members.join(first, "component").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW)
+    left = Scratch(spark, "near-gone")
+    gone = left.write(members.join(first, "component").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW))
+    scratch.drop_all(rows)
     return rows.join(gone, ROW, "left_anti").select(*docs.columns)
