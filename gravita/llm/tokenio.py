@@ -6,8 +6,10 @@ end id last). Ids are dictionary-encoded and bit-packed, the long columns delta-
 pages are bounded, and every file carries page indexes, so that a reader of a few documents or of the
 metadata alone opens only their pages.
 
-Defined results: null text is empty and has the end id alone; rows that repeat a doc_id stay, in no
-given order among themselves; a null doc_id comes first; an empty table gives an empty folder.
+Defined results: null text is empty and has the end id alone; whole texts are encoded, however long; rows
+that repeat a doc_id stay, ordered among themselves by a hash of their texts; a null doc_id comes first;
+partitions are cut inside a repeated id too; an empty table gives an empty folder; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch
+from .common import Scratch, batch, frugal
 from .tokens import library_encoder
 
 END = 0
@@ -39,6 +41,7 @@ COLUMNS = "doc_id long, part int, at long, n_tokens long, ids array<int>"
 
 
 def _encode(path: str, end: int):
+    @frugal
     def run(batches):
         encoder, part, at = library_encoder(path), TaskContext.get().partitionId(), 0
         for b in batches:
@@ -58,7 +61,9 @@ def _encode(path: str, end: int):
 def token_rows(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     """The rows to write: partitions follow one another in doc_id order, and so do the rows in each."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(_encode(path, end), COLUMNS)
+    order = ("doc_id", F.xxhash64("text"), F.col("_spread"))
+    rows = rows.withColumn("_spread", F.monotonically_increasing_id())
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(_encode(path, end), COLUMNS)
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END, codec: str = "zstd") -> None:
