@@ -1,26 +1,28 @@
 """Repeated byte strings, by a radix sort of suffixes that stops at the threshold depth.
 
 Suffixes that share their first ``length`` bytes are the repeated windows, so no order beyond that depth
-is needed. The first digit of a suffix is not its first bytes but its anchor: of all grams inside its
-first ``length`` bytes the one with the least fingerprint, leftmost among equals. Equal windows have
-equal anchors at equal places, and neighbouring suffixes share one, so the first pass moves one row for
-about eighty suffixes. Suffixes alone under their anchor are in order already and drop out; the others
-meet, with the bytes they need, in a task for their anchor, where two more passes order them by the
-fingerprints of the two halves of their windows, again dropping those that stand alone. Groups left
-after the last digit are exactly the repeated windows (fingerprints have 64 bits each, under two
-independent tables).
+is needed. Suffixes are first distributed by an anchor: of all grams inside their first ``length`` bytes
+the one with the least fingerprint, leftmost among equals. Equal windows have equal anchors at equal places,
+and neighbouring suffixes share one, so this pass moves one row for about eighty suffixes. Suffixes alone
+under their anchor drop out; the others meet, with the bytes they need, in a task for their anchor. There
+they are dealt by their anchor's place and then sorted by most-significant-digit passes over their bytes,
+eight at a time: a group whose digits agree stays as it is, any other is ordered and split, and suffixes
+that stand alone drop out. Groups left at depth ``length`` are exactly the repeated windows, byte for byte,
+whatever the fingerprints.
 
 Hot groups: copies of texts that make up a large share of the table are found by heavy-hitter summaries
 and decided where they are read, one copy standing for all. An anchor with more than ``crowd`` suffix
-rows is not gathered: its windows become rows that are counted with map-side combining.
+rows is not gathered: its windows become rows that are counted with map-side combining, told apart by two
+64-bit fingerprints of their halves.
 
-Defined results: null text is empty; texts shorter than ``length`` lose nothing; matches never cross
-documents; rows that repeat a doc_id are documents of their own; null doc_ids stay null.
+Defined results: null and empty texts have no bytes; texts shorter than ``length`` lose nothing; very long
+texts are worked through in blocks; matches never cross documents; rows that repeat a doc_id or have none
+are documents of their own, repeated rows each other's copies; null doc_ids stay null; an empty table gives
+an empty result; other columns, whatever their names, are not read (``drop_repeats`` keeps them).
 """
 
 from __future__ import annotations
 
-import gc
 from hashlib import sha256
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch
+from .common import Scratch, batch, frugal
 from .exact import heavy_digests
 
 LENGTH = 200
@@ -90,21 +92,21 @@ def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 _GRAMS, _LEFT, _RIGHT = Fingerprints(11), Fingerprints(12), Fingerprints(13)
 
 
-def anchors(a: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint of each anchor in order, and the first and last suffix that has it. Long texts are
-    worked through in blocks of suffixes; an anchor whose suffixes lie in two blocks is given twice."""
+def anchors(a: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint of each anchor in order, the first and last suffix that has it, and its place. Long texts
+    are worked through in blocks of suffixes; an anchor whose suffixes lie in two blocks is given twice."""
     parts = [(at, _anchors(a[at : at + BLOCK + length - 1], length, gram)) for at in range(0, len(a) - length + 1, BLOCK)]
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate([p[k] + (at if k else 0) for at, p in parts]) for k in range(3))
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    return tuple(np.concatenate([p[k] + (at if k else 0) for at, p in parts]) for k in range(4))
 
 
-def _anchors(a: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(a: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     g = _GRAMS.all(a, gram)
     least = sliding_min((g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64), length - gram + 1)
     place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
-    return g[place[first]].view(np.int64), first, np.concatenate([first[1:], [len(place)]]) - 1
+    return g[place[first]].view(np.int64), first, np.concatenate([first[1:], [len(place)]]) - 1, place[first]
 
 
 def _bytes(texts: pa.Array):
@@ -116,6 +118,7 @@ def _bytes(texts: pa.Array):
 def _anchor_rows(length: int, gram: int):
     schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("mark", pa.int64()), ("times", pa.int32())])
 
+    @frugal
     def run(batches):
         for b in batches:
             out: list[list] = [[], [], [], []]
@@ -134,23 +137,27 @@ def _anchor_rows(length: int, gram: int):
     return run
 
 
-CONTEXT = "anchor long, key long, mark long, at int, n int, bytes binary"
-_CONTEXT = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary())])
+CONTEXT = "anchor long, key long, mark long, at int, n int, gap int, bytes binary"
+_CONTEXT = pa.schema(
+    [("anchor", pa.int64()), ("key", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("gap", pa.int32()), ("bytes", pa.binary())]
+)
 
 
 def _contexts(length: int, gram: int):
-    """For each wanted anchor of a text: its first suffix, how many have it, and the bytes they need."""
+    """For each wanted anchor of a text: its first suffix, how many have it, how far behind the first suffix
+    it begins, and the bytes they need."""
 
+    @frugal
     def run(batches):
         for b in batches:
             out, held = [], 0
             rows = zip(_bytes(b.column("text")), b.column("key").to_pylist(), b.column("mark").to_pylist(), b.column("anchors"), strict=True)
             for a, key, mark, wanted in rows:
-                h, first, last = anchors(a, length, gram)
+                h, first, last, place = anchors(a, length, gram)
                 hit = np.flatnonzero(np.isin(h, wanted.values.to_numpy()))
                 raw = a.tobytes()
-                for x, i, j in zip(h[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
-                    out.append((x, key, mark, i, j - i + 1, raw[i : j + length]))
+                for x, i, j, p in zip(h[hit].tolist(), first[hit].tolist(), last[hit].tolist(), place[hit].tolist(), strict=True):
+                    out.append((x, key, mark, i, j - i + 1, p - i, raw[i : j + length]))
                     held += j - i + length
                     if held > 4 << 20:
                         yield batch(_CONTEXT, *zip(*out, strict=True))
@@ -161,16 +168,23 @@ def _contexts(length: int, gram: int):
     return run
 
 
-def _windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place in its text and both digits of every suffix of a batch of contexts. Fingerprints are
-    taken of a block of rows at a time."""
-    column, half = b.column("bytes"), length // 2
+def _laid(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a batch of contexts, where each context's begin and the last end, and of every suffix
+    its row and how many suffixes of the row come before it."""
+    column = b.column("bytes")
     cuts = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    raw = np.frombuffer(column.buffers()[2], np.uint8)
     n = b.column("n").to_numpy().astype(np.int64)
-    ends = np.cumsum(n)
     row = np.repeat(np.arange(len(n)), n)
-    step = np.arange(int(ends[-1])) - (ends - n)[row]
+    return np.frombuffer(column.buffers()[2], np.uint8), cuts, row, np.arange(len(row)) - (np.cumsum(n) - n)[row]
+
+
+def _windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place in its text and fingerprints of both halves of every window of a batch of contexts, taken
+    of a block of rows at a time."""
+    half = length // 2
+    raw, cuts, row, step = _laid(b)
+    n = np.bincount(row, minlength=b.num_rows)
+    ends = np.cumsum(n)
     left, right = np.empty(len(row), np.uint64), np.empty(len(row), np.uint64)
     i = 0
     while i < len(n):
@@ -183,11 +197,36 @@ def _windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np
     return row, b.column("at").to_numpy().astype(np.int64)[row] + step, left, right
 
 
-def shared(digit: np.ndarray) -> np.ndarray:
-    """Indices, ordered by their digit, of the items whose digit another item has too."""
-    order = np.argsort(digit, kind="stable")
-    same = digit[order][1:] == digit[order][:-1]
-    return order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(digit) else order
+def _grouped(new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From flags of where groups begin: which items have company, and of those the group and each group's first."""
+    heads = np.flatnonzero(new)
+    size = np.diff(np.append(heads, len(new)))
+    kept, size = np.repeat(size > 1, size), size[size > 1]
+    return kept, np.repeat(np.arange(len(size)), size), np.cumsum(size) - size
+
+
+def equal_suffixes(raw: np.ndarray, start: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """Indices, in order of their bytes, of the suffixes whose first ``length`` bytes another one of the same
+    first digit has too. Digits after the first are eight bytes (fewer for a shorter length)."""
+    order = np.argsort(first, kind="stable")
+    digit = first[order]
+    kept, group, heads = _grouped(np.concatenate([[True], digit[1:] != digit[:-1]])[: len(digit)])
+    order = order[kept]
+    width = next(w for w in (8, 4, 2, 1) if w <= length)
+    view = np.ndarray(max(len(raw) - width + 1, 0), f">u{width}", raw, strides=(1,))
+    for depth in [*range(0, length - width, width), length - width]:
+        if not len(order):
+            break
+        digit = view[start[order] + depth].astype(np.uint64)
+        apart = digit != digit[heads][group]
+        if not apart.any():
+            continue
+        mixed_ = np.flatnonzero(np.logical_or.reduceat(apart, heads)[group])
+        put = mixed_[np.lexsort((digit[mixed_], group[mixed_]))]
+        order[mixed_], digit[mixed_] = order[put], digit[put]
+        kept, regrouped, heads = _grouped(np.concatenate([[True], (digit[1:] != digit[:-1]) | (group[1:] != group[:-1])]))
+        order, group = order[kept], regrouped
+    return order
 
 
 _SPANS = pa.schema([("key", pa.int64()), ("mark", pa.int64()), ("begin", pa.int32()), ("end", pa.int32())])
@@ -195,15 +234,17 @@ _SPANS = pa.schema([("key", pa.int64()), ("mark", pa.int64()), ("begin", pa.int3
 
 def _repeated(b: pa.RecordBatch, length: int) -> pa.RecordBatch:
     """Spans covered by the repeated windows of complete anchor groups."""
-    row, place, left, right = _windows(b, length)
-    group = shared(left)
-    last = mixed(left[group] * np.uint64(0x9E3779B97F4A7C15) + right[group])
-    hit = np.sort(group[shared(last)])
+    raw, cuts, row, step = _laid(b)
+    anchor = b.column("anchor").to_numpy()
+    group = np.cumsum(np.concatenate([[False], anchor[1:] != anchor[:-1]]))
+    first = group[row] * length + b.column("gap").to_numpy()[row] - step
+    place = b.column("at").to_numpy().astype(np.int64)[row] + step
+    hit = np.sort(equal_suffixes(raw, cuts[:-1][row] + step, first, length))
     new = np.flatnonzero((np.diff(row[hit]) != 0) | (np.diff(place[hit]) != 1)) + 1 if len(hit) else []
-    first = hit[np.concatenate([[0], new]).astype(int)] if len(hit) else hit
+    begin = hit[np.concatenate([[0], new]).astype(int)] if len(hit) else hit
     final = hit[np.concatenate([np.array(new) - 1, [len(hit) - 1]]).astype(int)] if len(hit) else hit
     keys, marks = b.column("key").to_numpy(), b.column("mark").to_numpy()
-    return batch(_SPANS, keys[row[first]], marks[row[first]], place[first].astype(np.int32), (place[final] + length).astype(np.int32))
+    return batch(_SPANS, keys[row[begin]], marks[row[begin]], place[begin].astype(np.int32), (place[final] + length).astype(np.int32))
 
 
 def _cut(b: pa.RecordBatch):
@@ -223,6 +264,7 @@ def _cut(b: pa.RecordBatch):
 def _by_anchor(length: int):
     """Streams a partition sorted by anchor, holding one batch and the group that it ends in."""
 
+    @frugal
     def run(batches):
         rest = None
         for b in batches:
@@ -243,6 +285,7 @@ def _by_anchor(length: int):
 def _crowd_rows(length: int):
     schema = pa.schema([("key", pa.int64()), ("mark", pa.int64()), ("begin", pa.int32()), ("left", pa.int64()), ("right", pa.int64())])
 
+    @frugal
     def run(batches):
         for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             row, place, left, right = _windows(b, length)
@@ -252,12 +295,6 @@ def _crowd_rows(length: int):
     return run
 
 
-def _settle(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _split_copies(docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     """(rows to search, rows of heavy groups): of each heavy group one row is in both."""
     rows = docs.select(
@@ -286,7 +323,6 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     )
     wanted = scratch.write(wanted)
     scratch.drop(found)
-    _settle(spark)
 
     def contexts(crowded: bool) -> DataFrame:
         own = wanted.filter(F.col("crowded") == crowded).drop("crowded")
@@ -302,7 +338,6 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         spans = spans.unionByName(windows.join(again, ["left", "right"]).select(*_KEY, "begin", (F.col("begin") + length).alias("end")))
     out = scratch.write(spans.groupBy(*_KEY).agg(F.collect_set(F.struct("begin", "end")).alias("spans")))
     scratch.drop(wanted)
-    _settle(spark)
     return out
 
 
@@ -328,6 +363,7 @@ def _without(text: str, spans: list[tuple[int, int]]) -> bytes:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+@frugal
 def _digest(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
     for b in batches:
@@ -363,6 +399,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gra
     schema = docs.schema
     at, counted = schema.names.index("text"), schema.names.index("n_chars") if "n_chars" in schema.names else None
 
+    @frugal
     def run(batches):
         for b in batches:
             held = b.column("row").flatten()
