@@ -13,7 +13,7 @@ whatever the fingerprints.
 Hot groups: copies of texts that make up a large share of the table are found by heavy-hitter summaries
 and decided where they are read, one copy standing for all. An anchor with more than ``crowd`` suffix
 rows is not gathered: its windows become rows that are counted with map-side combining, told apart by two
-64-bit fingerprints of their halves.
+64-bit fingerprints of their halves. The few that make up a large share of those rows are broadcast.
 
 Defined results: null and empty texts have no bytes; texts shorter than ``length`` lose nothing; very long
 texts are worked through in blocks; matches never cross documents; rows that repeat a doc_id or have none
@@ -36,6 +36,8 @@ from .exact import heavy_digests
 LENGTH = 200
 GRAM = 40
 CROWD = 16384
+#: Share of a crowd's windows (one in so many) from which a window is met where it is read.
+HOT = 2048
 #: Suffixes of a text, and bytes of contexts, handled at once.
 BLOCK = 1 << 19
 _KEY = ["key", "mark"]
@@ -334,8 +336,11 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     if not wanted.filter("crowded").isEmpty():
         windows = contexts(True).mapInArrow(_crowd_rows(length), "key long, mark long, begin int, left long, right long")
         windows = scratch.write(windows)
-        again = windows.groupBy("left", "right").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        spans = spans.unionByName(windows.join(again, ["left", "right"]).select(*_KEY, "begin", (F.col("begin") + length).alias("end")))
+        window = ["left", "right"]
+        again = scratch.write(windows.groupBy(*window).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        hot = F.broadcast(again.filter(F.col("n") * HOT >= windows.count()).select(*window))  # at most HOT rows
+        met = windows.join(hot, window, "left_semi").unionByName(windows.join(hot, window, "left_anti").join(again.select(*window), window).select(windows.columns))
+        spans = spans.unionByName(met.select(*_KEY, "begin", (F.col("begin") + length).alias("end")))
     out = scratch.write(spans.groupBy(*_KEY).agg(F.collect_set(F.struct("begin", "end")).alias("spans")))
     scratch.drop(wanted)
     return out

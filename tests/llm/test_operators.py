@@ -145,8 +145,9 @@ def removed(texts, length):
     return out
 
 
-@pytest.mark.parametrize("most", [substrings.CROWD, 3])
-def test_repeats(spark, most):
+@pytest.mark.parametrize("most, hot", [(substrings.CROWD, 2048), (3, 2048), (3, 8), (3, 0)])
+def test_repeats(spark, monkeypatch, most, hot):
+    monkeypatch.setattr(substrings, "HOT", hot)
     own = [*corpus(60), None, "", "ab" * 300, "x" * 150, "é" * 400]
     want = removed(own, 100)
     rows = substrings.removed_repeats(spark, documents(spark, own), length=100, gram=20, crowd=most).collect()
@@ -396,3 +397,149 @@ def test_quality_undoes_the_sampling(spark):
     parts = quality.inputs(["one text for all"], [16], quality.Words())
     whole, sampled = (quality.fit(docs, labels, most).scores(parts, 1)[0] for most in (400, 20))
     assert abs(whole - 0.9) < 0.05 and abs(sampled - whole) < 0.05
+
+
+REPEATED = [(3, "a b c d e f g"), (3, "a b c d e f g"), (3, "other words of the same document"), (None, "a b c d e f g"), (None, None), (1, ""), (2, "a b c d e f g h")]
+
+
+def repeated(spark, more=()):
+    """Rows whose ids repeat or are null, with columns whose names clash with those that operators use."""
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in [*REPEATED, *more]]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    for name in ("key", "mark", "node", "row", "u", "v", "n", "digest", "component", "bucket", "_row", "task", "score", "anchor"):
+        docs = docs.withColumn(name, F.lit("x"))
+    return docs
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    rows = nearjoin.near_duplicates(spark, repeated(spark)).collect()
+    assert len(rows) == len(REPEATED)
+    of = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows)
+    assert of == Counter({(3, 3, 2, False): 2, (None, 3, 2, False): 1, (2, 4, 2, True): 1, (3, 2, 3, True): 1, (None, 0, None, True): 1, (1, 0, 1, True): 1})
+
+
+def test_repeats_of_repeated_ids(spark):
+    more = [(9, "xy" * 200), (9, "xy" * 200), (None, "z" * 50)]
+    want = removed([t for _, t in [*REPEATED, *more]], 100)
+    rows = substrings.removed_repeats(spark, repeated(spark, more), length=100, gram=20).collect()
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in rows)
+    assert got == Counter((i, n, gone, hashlib.sha256(kept).hexdigest()) for (i, _), (n, gone, _, kept) in zip([*REPEATED, *more], want))
+
+
+def test_token_files_of_repeated_ids(spark):
+    rows = [tokenio.round_trip(spark, repeated(spark).repartition(n), vocabulary()).collect() for n in (1, 5)]
+    assert sorted(rows[0], key=lambda r: r.start) == sorted(rows[1], key=lambda r: r.start)
+    ids, _ = library([t for _, t in REPEATED])
+    assert Counter((r.doc_id, r.n_tokens) for r in rows[0]) == Counter((i, len(x) + 1) for (i, _), x in zip(REPEATED, ids))
+    at = 0
+    for r in sorted(rows[0], key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id for r in sorted(rows[0], key=lambda r: r.start)] == [None, None, 1, 2, 3, 3, 3]
+
+
+def test_packing_of_repeated_ids(spark):
+    rows = packing.pack(spark, repeated(spark), vocabulary(), window=8).collect()
+    ids, _ = library([t for _, t in REPEATED])
+    assert sum(r.length for r in rows) == sum(len(x) + 1 for x in ids)
+    assert Counter(r.doc_id for r in rows if r.start == 0) == Counter(i for i, _ in REPEATED)
+
+
+def test_other_operators_take_repeated_ids(spark):
+    docs = repeated(spark, [(8, "word " * 30000)])
+    labels = spark.createDataFrame([(3, 1, 1), (3, 0, 0), (2, 1, 0), (2, None, None), (None, 1, 1), (8, 0, 1)], "doc_id long, quality int, toxic int")
+    want = Counter([*(i for i, _ in REPEATED), 8])
+    for out in (toxicity.score(spark, docs, labels), quality.score(spark, docs, labels), quality.score(spark, docs.drop("n_chars"), labels), language.identify(spark, docs), bpe.round_trip(spark, docs, vocabulary())):
+        assert Counter(r.doc_id for r in out.collect()) == want
+    assert Counter(r.doc_id for r in exact.drop_exact_duplicates(spark, docs).collect()) == Counter([3, 3, None, 1, 2, 8]) - Counter([None])
+
+
+def test_suffixes_are_told_apart_by_bytes():
+    r = np.random.default_rng(6)
+    for length in (1, 3, 8, 13, 200):
+        raw = np.concatenate([r.integers(97, 99, 900), np.tile(r.integers(97, 123, 230), 2)]).astype(np.uint8)
+        start = r.permutation(len(raw) - length + 1)
+        seen = Counter(raw[s : s + length].tobytes() for s in start)
+        found = substrings.equal_suffixes(raw, start, np.zeros(len(start), np.int64), length)  # all under one first digit
+        assert sorted(found.tolist()) == [i for i, s in enumerate(start) if seen[raw[s : s + length].tobytes()] > 1]
+        ordered = [raw[start[i] : start[i] + length].tobytes() for i in found]
+        assert ordered == sorted(ordered)
+
+
+def test_repeats_whatever_the_fingerprints(spark, monkeypatch):
+    """With anchors that all collide, bytes alone decide."""
+    monkeypatch.setattr(substrings.Fingerprints, "all", lambda self, a, n: np.zeros(len(a) - n + 1, np.uint64))
+    own = corpus(12)
+    want = removed(own, 100)
+    raw = [np.frombuffer(t.encode(), np.uint8) for t in own]
+    rows = [(0, i, 0, f, la - f + 1, p - f, a[f : la + 100].tobytes()) for i, a in enumerate(raw) for h, f, la, p in zip(*(x.tolist() for x in substrings.anchors(a, 100, 20)))]
+    columns = list(zip(*rows))
+    spans = substrings._repeated(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, substrings._CONTEXT)], schema=substrings._CONTEXT), 100).to_pylist()
+    for i, (_, gone, runs, _) in enumerate(want):
+        merged = substrings.merged([s for s in spans if s["key"] == i])
+        assert (sum(e - b for b, e in merged), len(merged)) == (gone, runs)
+
+
+def test_buckets_hold_all_pairs_within_the_distance():
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        a = r.integers(0, 1 << nearjoin.BITS, nearjoin.SYMBOLS).astype("<u4")
+        b = a.copy()
+        b[r.choice(nearjoin.SYMBOLS, nearjoin.DISTANCE, replace=False)] ^= 1
+        x, y = nearjoin.buckets(np.stack([a, b]))
+        assert set(x.tolist()) & set(y.tolist()) and len(set(x.tolist())) == nearjoin.SYMBOLS
+
+
+@pytest.mark.parametrize("block", [1, 1 << 19])
+def test_near_duplicates_in_small_blocks(spark, monkeypatch, block):
+    """A chain of texts, each near the next only, among texts that share a part but reach nothing."""
+    monkeypatch.setattr(nearjoin, "BLOCK", block)
+    monkeypatch.setattr(nearjoin, "VISITORS", 2)
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    chain, w = [], [r.choice(words) for _ in range(90)]
+    for _ in range(12):
+        chain.append(" ".join(w))
+        w = w[3:] + [r.choice(words) for _ in range(3)]
+    half = " ".join(r.choice(words) for _ in range(60))
+    own = [*chain, *(f"{half} {' '.join(r.choice(words) for _ in range(20 + i % 9))}" for i in range(30)), *crowd(20, 9)]
+    sets, roots = near_classes(own)
+    rows = nearjoin.near_duplicates(spark, documents(spark, own)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == {i: (len(s), k) for i, (s, k) in enumerate(zip(sets, roots))}
+
+
+def test_shelves_take_every_document_and_split_hot_ones():
+    r = np.random.default_rng(3)
+    sample = np.concatenate([r.normal(size=(600, packing.DIMS)), np.zeros((300, packing.DIMS))]).astype(np.float32)
+    shelves = packing.Shelves(sample, 12)
+    shelf, _ = shelves.place(sample)
+    assert (shelf >= 0).all() and len(np.unique(shelf[:600])) > 12
+    assert shelves.shared[shelf[-1]] >= 3 and (shelves.first + shelves.shared <= 12).all()
+    assert packing.Shelves(sample[:0], 1).place(sample[:2])[0].tolist() == [0, 0]
+
+
+def test_exact_keeps_one_row_of_a_group(spark):
+    for share in (0.01, 1.0):  # decided where they are read, or shuffled
+        rows = exact.exact_duplicates(spark, repeated(spark), counters=64, heavy_share=share).collect()
+        assert Counter((r.doc_id, r.keep_id, r.group_size) for r in rows) == Counter({(3, 3, 3): 2, (None, 3, 3): 1, (3, 3, 1): 1, (None, 1, 2): 1, (1, 1, 2): 1, (2, 2, 1): 1})
+        assert Counter(r.text_sha256 for r in rows if r.kept) == Counter({r.text_sha256: 1 for r in rows})
+        assert all(r.doc_id == r.keep_id for r in rows if r.kept)
+
+
+def test_token_files_are_read_in_part(spark, texts, tmp_path):
+    folder = str(tmp_path / "ids")
+    tokenio.write_tokens(documents(spark, texts), folder, vocabulary())
+    ids, _ = library(texts)
+    rows = tokenio.read_tokens(spark, folder)
+    seventh = rows.filter("doc_id = 7")
+    plan = seventh._jdf.queryExecution().toString()
+    assert seventh.first().ids == [*ids[7], 0] and "EqualTo(doc_id,7)" in plan
+    small = rows.select("doc_id", "start", "n_tokens")
+    assert "ids" not in small._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split("\n")[0]
+    at = 0
+    for r, own in zip(small.orderBy("doc_id").collect(), ids):
+        assert (r.start, r.n_tokens) == (at, len(own) + 1)
+        at += r.n_tokens
+    for f in (tmp_path / "ids").glob("part-*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        assert all(meta.row_group(i).total_byte_size <= 33 << 20 for i in range(meta.num_row_groups))
