@@ -4,9 +4,12 @@ Inputs are hashed words, statistics of a text's structure and the table's n_char
 weight for each input and, for each pair of inputs, the product of their low-rank vectors; all pairs are
 summed in time linear in the inputs by half of (sum squared minus sum of squares).
 
-Defined results: null and empty texts have no words and zero statistics; a null n_chars counts as the
-text's length; without labelled rows of both kinds every score is 1. The sample has at most ``sample``
-documents of each label and is weighted back to the labels' shares in the table.
+Defined results: null and empty texts have no words and zero statistics; whole texts are read, however long;
+a null or missing n_chars counts as the text's length; without labelled rows of both kinds every score is 1.
+The sample has at most ``sample`` documents of each label and is weighted back to the labels' shares in the
+table. Of rows that share a doc_id the least text is learned, of its labels the smaller; each such row is
+scored by its own text. A null doc_id has no label and isn't learned. Ties need no rule. An empty table
+gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -16,10 +19,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, bounded_sample, remainder, texts
+from .common import batch, bounded_sample, frugal, remainder, texts
 
 SAMPLE = 1500
 BUCKETS, RANK = 1 << 14, 6
@@ -129,24 +132,31 @@ def stands_for(y: np.ndarray, counts: dict[int, int]) -> np.ndarray:
     return w / w.mean()
 
 
+def claimed(docs: DataFrame) -> Column:
+    """The table's n_chars, null where it has none."""
+    return (F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)).cast("long")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Learn from labelled rows whose crc32 remainder by 5 is not 0."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.filter(remainder(F.col("doc_id"), 5) != 0)
     counts = {r.quality: r.n for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [bounded_sample(known.filter(F.col("quality") == y), "doc_id", sample) for y in (0, 1)]
-    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text or ""))
+    found = docs.select("doc_id", F.struct(F.coalesce("text", F.lit("")).alias("text"), claimed(docs).alias("n_chars")).alias("row"))
+    found = found.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+    rows = sorted(found.groupBy("doc_id", "quality").agg(F.min("row").alias("row")).select("doc_id", "quality", "row.*").collect(), key=lambda r: r.doc_id)
     machine = Machine()
     y = np.array([float(r.quality) for r in rows])
     if len(counts) == 2:
-        machine.train(inputs([r.text or "" for r in rows], [r.n_chars for r in rows], Words()), y, stands_for(y, counts))
+        machine.train(inputs([r.text for r in rows], [r.n_chars for r in rows], Words()), y, stands_for(y, counts))
     return machine
 
 
 def _score(machine: Machine):
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
+    @frugal
     def run(batches):
         known = Words()
         for b in batches:
@@ -162,5 +172,5 @@ def _score(machine: Machine):
 def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted: one row for each row of ``docs``."""
     machine = fit(docs, labels, sample)
-    rows = docs.select(F.col("doc_id").cast("long"), (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "text", F.col("n_chars").cast("long"))
+    rows = docs.select(F.col("doc_id").cast("long"), (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "text", claimed(docs).alias("n_chars"))
     return rows.mapInArrow(_score(machine), "doc_id long, held_out boolean, score double, predicted int")
