@@ -30,19 +30,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, numbered
+from .common import Scratch, batch, frugal, numbered
 from .tokens import library_encoder
 
 WINDOW, END = 2048, 1
 #: Documents and ids in a shard at most (a longer document is a shard by itself); BM25's constants.
 SHARD_DOCS, SHARD_IDS = 1024, 2_000_000
 K1, B = 1.2, 0.75
+#: Share of a shard's documents (one in so many) from which an id has a row of its own, and neighbours ranked first.
+OFTEN, FIRST = 16, 32
 #: Rows the shelves are fitted on (expected, chosen by a hash of the row), rows of them on a shelf at least,
 #: numbers a document is projected to, and ids a task gets.
 SAMPLE, SHELF, DIMS, TASK_IDS = 8192, 8, 16, 4_000_000
 
 
 def _encode(path: str, end: int):
+    @frugal
     def run(batches):
         encoder = library_encoder(path)
         for b in batches:
@@ -86,6 +89,7 @@ def _parts(docs: list[np.ndarray], most: int = 1 << 20):
             begin, held = end, 0
 
 
+@frugal
 def _counts(batches):
     """Documents that hold each id; under -1 the documents, under -2 all ids."""
     held, docs, total = np.zeros(1 << 16, np.int64), 0, 0
@@ -114,7 +118,8 @@ class Bm25:
 
 
 class Shard:
-    """An inverted index over some documents' ids."""
+    """An inverted index over some documents' ids. Ids that many of the documents hold have a row of a table
+    each instead of a list."""
 
     def __init__(self, docs: list[np.ndarray], stats: Bm25):
         doc, term, times = _terms(docs)
@@ -124,20 +129,41 @@ class Shard:
         length = np.fromiter(map(len, docs), np.float32, len(docs))
         score = worth * tf * np.float32(K1 + 1) / (tf + np.float32(K1) * (np.float32(1 - B) + np.float32(B) * length[doc] / np.float32(stats.mean)))
         self.terms = np.split(term, np.searchsorted(doc, np.arange(1, len(docs))))
+        self.size = len(docs)
+        n = np.bincount(term, minlength=len(stats.idf))
+        often = np.flatnonzero(n * OFTEN >= self.size)
+        self.row = np.full(len(n), -1)
+        self.row[often] = np.arange(len(often))
+        self.table = np.zeros((len(often), self.size), np.float32)
+        dense = self.row[term] >= 0
+        self.table[self.row[term[dense]], doc[dense]] = score[dense]
+        doc, term, score = doc[~dense], term[~dense], score[~dense]
         order = np.argsort(term, kind="stable")
         self.doc, self.score = doc[order].astype(np.int32), score[order]
-        n = np.bincount(term, minlength=len(stats.idf))
+        n[often] = 0
         self.n, self.first = n, np.cumsum(n) - n
-        self.size = len(docs)
 
     def scores(self, i: int) -> np.ndarray:
         """BM25 of every document for the distinct ids of document i."""
         own = self.terms[i]
+        row = self.row[own]
+        often = np.zeros(len(self.table), np.float32)
+        often[row[row >= 0]] = 1
+        own = own[row < 0]
         n = self.n[own]
         ends = np.cumsum(n)
         hit = np.repeat(self.first[own] - (ends - n), n)
         hit += np.arange(len(hit))
-        return np.bincount(self.doc[hit], self.score[hit], self.size)
+        return np.bincount(self.doc[hit], self.score[hit], self.size) + often @ self.table
+
+    def ranked(self, i: int, unused: np.ndarray):
+        """Unused documents by their score for document i, best first, ties to the earlier."""
+        score = np.where(unused, self.scores(i), -1.0)
+        if self.size > 4 * FIRST:
+            least = np.partition(score, self.size - FIRST)[self.size - FIRST]
+            best = np.flatnonzero(score >= least)
+            yield from best[np.argsort(-score[best], kind="stable")].tolist()
+        yield from np.argsort(-score, kind="stable").tolist()
 
 
 class Shelves:
@@ -252,7 +278,7 @@ def fill_shard(filler: Filler, ids: list, docs: list[np.ndarray], stats: Bm25) -
         if not filler.used:
             ranking, seeded = iter(()), False
         elif not seeded or filler.sequence != before:
-            ranking, seeded = iter(np.argsort(-np.where(unused, index.scores(i), -1.0), kind="stable").tolist()), True
+            ranking, seeded = index.ranked(i, unused.copy()), True
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -261,6 +287,7 @@ PLACED = "task int, shelf int, place float, row long, doc_id long, width int, id
 
 
 def _project(stats: Bm25):
+    @frugal
     def run(batches):
         for b in batches:
             x = projected(list(_ids(b)), stats)
@@ -270,6 +297,7 @@ def _project(stats: Bm25):
 
 
 def _place(stats: Bm25, shelves: Shelves):
+    @frugal
     def run(batches):
         for b in batches:
             shelf, place = shelves.place(projected(list(_ids(b)), stats))
@@ -288,6 +316,7 @@ def _pack(stats: Bm25, window: int, shard_docs: int, shard_ids: int):
     def out(pieces: list[list]) -> pa.RecordBatch:
         return batch(_PIECES, *list(zip(*pieces, strict=True))[:7])
 
+    @frugal
     def run(batches):
         filler = Filler(window, TaskContext.get().partitionId() << 40)
         ids, docs, held = [], [], 0
