@@ -6,9 +6,12 @@ and its two neighbours. Forward-backward marginals, run over whole texts, give e
 the largest one and the sum of those that matter give the document's score through a small logistic
 regression, and runs of probable tokens give the offending offsets (in characters).
 
-Defined results: null and empty texts have no tokens and the score of a text without evidence; without
-labelled rows of both kinds every score is 0. The sample has at most ``sample`` documents of each label
-and is weighted back to the labels' shares in the table.
+Defined results: null and empty texts have no tokens and the score of a text without evidence; whole texts
+are learned from and scored, however long; without labelled rows of both kinds every score is 0. The sample
+has at most ``sample`` documents of each label and is weighted back to the labels' shares in the table. Of
+rows that share a doc_id the least text is learned, of its labels the larger; each such row is scored by its
+own text. A null doc_id has no label and isn't learned. Ties need no rule. An empty table gives an empty
+result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -21,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, bounded_sample, remainder, texts
+from .common import batch, bounded_sample, frugal, remainder, texts
 
-SAMPLE = 800
+SAMPLE = 1500
 #: Weights kept: the largest, and none that are next to nothing.
 WEIGHTS, LEAST_WEIGHT = 50_000, 0.02
 THRESHOLD = 0.3
@@ -33,8 +36,6 @@ REMEMBERED, BLOCK, MATTERS = 500_000, 16 << 20, 0.05
 SIGNIFICANT = 10.0
 #: Word pairs by which copies among the sample are known.
 SKETCH = 32
-#: Words in a chain while learning. All words are learned from; scoring never cuts a text.
-SEGMENT = 400
 _WORD = re.compile(r"\S+")
 _EDGES = ".,;:!?\"'()[]{}*%$&#|-_"
 
@@ -152,14 +153,6 @@ def telling(seen: np.ndarray, toxic: int, clean: int, odds: float = 1.0) -> np.n
     return (yes > 0.8 * (yes + odds * (n - yes))) & (yes > base * n) & (np.nan_to_num(ratio) > SIGNIFICANT)
 
 
-def segments(lengths: np.ndarray, most: int = SEGMENT) -> np.ndarray:
-    """Lengths of the chains after those over ``most`` are cut, in order."""
-    parts = -(-lengths // most)
-    out = np.full(int(parts.sum()), most)
-    out[np.cumsum(parts)[lengths > 0] - 1] = (lengths - (parts - 1) * most)[lengths > 0]
-    return out
-
-
 def originals(tokens: list[np.ndarray]) -> np.ndarray:
     """Documents that share no more than half of their least word pairs with any one earlier original: of
     copies, whose words would count as often as they were copied, the first."""
@@ -234,13 +227,12 @@ def tagger(found: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int
     pair = np.zeros((2, 2))
     np.add.at(pair, (labels[i - 1].astype(int), labels[i].astype(int)), each[i])
     field.moves = np.log((pair + 1) / (pair + 1).sum(1, keepdims=True))
-    cut = segments(lengths)
     past = [np.full(len(form_at), 1e-6) for _ in range(3)]
     for _ in range(rounds):
         score = np.bincount(word_of, weights[0][form_of], len(own))[token]
         score[i] += weights[1][first][token[i - 1]]
         score[i - 1] += weights[2][first][token[i]]
-        wrong = (marginals(score, cut, field.moves) - labels) * each
+        wrong = (marginals(score, lengths, field.moves) - labels) * each
         steps = (
             np.bincount(form_of, np.bincount(token, wrong, len(own))[word_of], len(form_at)),
             np.bincount(first, np.bincount(token[i - 1], wrong[i], len(own)), len(form_at)),
@@ -263,9 +255,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     known = known.filter(remainder(F.col("doc_id"), 4) != 2)
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [bounded_sample(known.filter(F.col("toxic") == y), "doc_id", sample) for y in (0, 1)]
-    rows = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text or ""))
-    return train([r.text or "" for r in rows], np.array([r.toxic == 1 for r in rows], bool), (counts.get(0, 0), counts.get(1, 0)))
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+    rows = sorted(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect(), key=lambda r: r.doc_id)
+    return train([r.text for r in rows], np.array([r.toxic == 1 for r in rows], bool), (counts.get(0, 0), counts.get(1, 0)))
 
 
 def offending(text: str, p: np.ndarray, least: float = 0.5) -> list[tuple[int, int]]:
@@ -289,6 +281,7 @@ def _tag(field: Field):
     span = pa.struct([("begin", pa.int32()), ("end", pa.int32())])
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("spans", pa.list_(span))])
 
+    @frugal
     def run(batches):
         for b in batches:
             found, at = texts(b.column("text")), 0
