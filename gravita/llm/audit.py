@@ -114,11 +114,13 @@ def chained(records):
 
 
 def masks(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
-    """doc_id, part, mask, n: the rows of ``docs`` by what they fail, equal rows counted."""
+    """doc_id, part, mask, n: the rows of ``docs`` by what they fail, equal rows counted. There are as many
+    partitions of chains as the texts' bytes ask for."""
     part = F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), part, F.col(text_col).alias("text")).rdd
-    parts = max(rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    routed = rows.mapPartitions(settled).repartitionAndSortWithinPartitions(parts, partitionFunc=lambda key: key[0])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), part, F.col(text_col).alias("text"))
+    held = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 200), F.lit(0))).first()[0]
+    parts = max(-(-held // (2 * BLOCK)), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    routed = rows.rdd.mapPartitions(settled).repartitionAndSortWithinPartitions(parts, partitionFunc=lambda key: key[0])
     found = spark.createDataFrame(routed.mapPartitions(chained), "doc_id long, part string, mask int, n long", verifySchema=False)
     return Scratch(spark, "audit").write(found)
 
