@@ -52,8 +52,9 @@ def weights_map(weights: Mapping[str, float]) -> Column:
 
 
 def padded(prefix: str, width: int, x: Column) -> Column:
-    """An id such as work_000042."""
-    return F.concat(F.lit(prefix), F.lpad(x.cast("string"), width, "0"))
+    """An id such as work_000042. Longer numbers keep all their digits."""
+    number = x.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(number) < width, F.lpad(number, width, "0")).otherwise(number))
 
 
 def little_endian(data: Column, at: int, size: int) -> Column:

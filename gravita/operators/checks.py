@@ -92,7 +92,7 @@ def report(figures: DataFrame, most: int, expected: int | None = None) -> DataFr
         ("duplicate_coordinates", F.coalesce(F.col("duplicate_coordinates") != 0, F.lit(True))),
         ("populations", F.coalesce(F.col("populations") > most, F.lit(True))),
         ("points", F.coalesce(F.col("points") != expected, F.lit(True)) if expected is not None else F.lit(False)),
-        ("density", F.col("points") <= F.col("solver_zones") * 3),
+        ("density", F.coalesce("points", F.lit(0)) <= F.coalesce("solver_zones", F.lit(0)) * 3),
         ("mean_drift", far("formal_mean_km", 2.0)),
         ("p90_drift", far("formal_p90_km", 5.0)),
     ]

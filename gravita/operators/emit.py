@@ -56,7 +56,8 @@ def point_totals(pops: DataFrame) -> DataFrame:
 
 def point_pop_ids(pops: DataFrame) -> DataFrame:
     """point, popIds in order of creation; a population that stays at its point is listed once."""
-    return roles(pops).filter("listed").groupBy("point").agg(F.sort_array(F.collect_list("pop")).alias("popIds"))
+    order = F.array_sort(F.collect_list(F.struct(F.length("pop").alias("n"), "pop")))  # longer ids have larger numbers
+    return roles(pops).filter("listed").groupBy("point").agg(F.transform(order, lambda p: p["pop"]).alias("popIds"))
 
 
 def demand_points(points: DataFrame, pops: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import geo
 from ..functions.scalar import coerced, first_filled, padded, required, stripped, try_double, weights_map
 from ..sources.readers import rings
 from .geometry import clean_outline
-from .tables import enumerate_rows, last_wins
+from .tables import enumerate_rows, last_wins, some
 
 #: Fixed value: names under which an area's id may stand.
 ID_NAMES = ("area_id", "cod_indec", "id", "cod_rad")
@@ -39,10 +39,10 @@ def checked_stats(stats: DataFrame) -> DataFrame:
 
 
 def census_areas(features: DataFrame, stats: DataFrame, bbox) -> DataFrame:
-    """area_id, population, jobs, ord, rings of polygons that meet the box and have statistics."""
+    """area_id, population, jobs, ord, rings of polygons that meet the box and have statistics; none is an error."""
     shaped = reprojected(with_area_id(rings(features)).filter(F.col("type").isin("Polygon", "MultiPolygon")))
     near = shaped.withColumn("bounds", geo.bounds(F.col("rings"))).filter(geo.overlaps(F.col("bounds"), bbox))
-    return near.join(checked_stats(stats), "area_id").select("area_id", "population", "jobs", "ord", "rings")
+    return some(near.join(checked_stats(stats), "area_id").select("area_id", "population", "jobs", "ord", "rings"), "No area has both a geometry in the box and statistics")
 
 
 def filtered_workplaces(raw: DataFrame, year: int, bbox) -> DataFrame:
@@ -56,7 +56,7 @@ def filtered_workplaces(raw: DataFrame, year: int, bbox) -> DataFrame:
 def weighted_workplaces(rows: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     """Adds employment_weight; an unknown band is an error, but only among rows that passed the filters."""
     w = weights_map(weights)[F.col("band")]
-    unknown = F.raise_error(F.concat(F.lit("Unknown employment band: "), F.coalesce("band", F.lit("")))).cast("double")
+    unknown = F.raise_error(F.concat(F.lit("No weight is known for employment band "), F.coalesce("band", F.lit("")))).cast("double")
     return rows.withColumn("employment_weight", F.coalesce(w, unknown))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .tables import size_summary, weighted_percentile
+from .tables import size_summary, weighted_percentiles
 
 
 def weighted_mean(df: DataFrame, value: str, weight: str, out: str) -> DataFrame:
@@ -18,11 +18,10 @@ def weighted_mean(df: DataFrame, value: str, weight: str, out: str) -> DataFrame
 
 
 def commute_figures(flows: DataFrame, weight: str, prefix: str) -> DataFrame:
-    """mean, p50, p90 and largest km of flows (km and a weight)."""
+    """mean, p50, p90 and largest km of flows (km and a weight), which several passes read."""
     found = [
         weighted_mean(flows, "km", weight, f"{prefix}_mean_km"),
-        weighted_percentile(flows, "km", weight, 0.5, f"{prefix}_p50_km"),
-        weighted_percentile(flows, "km", weight, 0.9, f"{prefix}_p90_km"),
+        weighted_percentiles(flows, "km", weight, {f"{prefix}_p50_km": 0.5, f"{prefix}_p90_km": 0.9}),
         flows.agg(F.coalesce(F.max("km"), F.lit(0.0)).alias(f"{prefix}_max_km")),
     ]
     return reduce(lambda a, b: a.crossJoin(b), found)

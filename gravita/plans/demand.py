@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import allocate, checks, cluster, emit, gravity, report, spatial
-from ..operators.tables import integerize, kept
+from ..operators.tables import integerize, kept, some
 
 
 @dataclass(frozen=True)
@@ -33,13 +33,16 @@ def build(radios: DataFrame, workplaces: DataFrame, config: Config, budget: Data
     folder, so that plans stay small and nothing is computed twice."""
     spark = radios.sparkSession
     budget = budget if budget is not None else spark.range(1).select(F.lit(config.display_cluster_count).cast("long").alias("budget"))
-    radios = kept(cluster.zoned(radios, config.solver_zone_degrees))
+    radios = some(cluster.zoned(radios, config.solver_zone_degrees), "There are no radios")
     zones = kept(cluster.zone_totals(radios))
     labels = kept(cluster.ward_clusters(radios, zones, cluster.apportioned(zones, budget)))
     clusters = kept(cluster.display_clusters(radios, labels, config.bbox))
+    state = clusters.crossJoin(F.broadcast(budget)).agg(F.max("budget"), F.count(F.lit(1)), F.count_distinct("lon", "lat")).first()
+    if state[0] != state[1] or state[1] != state[2]:
+        raise ValueError(f"{state[0]} clusters at places of their own were asked for, {state[1]} at {state[2]} places were found")
     solver = kept(cluster.solver_zones(clusters, zones))
     homes = radios.join(labels, "radio").join(clusters.select("zone", "label", "cluster"), ["zone", "label"]).select("radio", "lon", "lat", "cluster")
-    placed = kept(integerize(workplaces, "employment_weight", "workplace", "capacity"))
+    placed = some(integerize(workplaces, "employment_weight", "workplace", "capacity"), "There are no workplaces")
     capacities = kept(spatial.capacity_by_cluster(placed, homes, clusters))
     destinations = kept(cluster.destination_zones(clusters, capacities, solver))
     scaled = cluster.formal_targets(clusters, capacities)
@@ -57,9 +60,9 @@ def build(radios: DataFrame, workplaces: DataFrame, config: Config, budget: Data
     residual = targets.select(F.col("cluster").alias("oc"), (F.col("employed") - F.col("formal")).alias("size"))
     pops = kept(emit.populations(assigned, residual, clusters.select("cluster", "id", "lon", "lat"), config.maximum_population_size))
     points = kept(emit.demand_points(clusters.select("id", "lon", "lat"), pops))
-    dense = report.commute_figures(report.with_km(flows, solver.select("zone", "lon", "lat"), destinations.select("d", "lon", "lat"), "o", "d"), "w", "dense_formal")
+    dense = report.commute_figures(kept(report.with_km(flows, solver.select("zone", "lon", "lat"), destinations.select("d", "lon", "lat"), "o", "d").select("km", "w")), "w", "dense_formal")
     spots = clusters.select("cluster", "lon", "lat")
-    exported = report.commute_figures(report.with_km(assigned, spots, spots, "oc", "dc"), "size", "exported_formal")
+    exported = report.commute_figures(kept(report.with_km(assigned, spots, spots, "oc", "dc").select("km", "size")), "size", "exported_formal")
     totals = targets.agg(F.sum("employed").alias("employed"), F.sum("formal").alias("formal"), F.sum(F.col("employed") - F.col("formal")).alias("local_residual"))
     model = flows.agg(
         F.count(F.lit(1)).alias("dense_candidate_edges"), F.count_if(F.col("w") > 0).alias("dense_positive_edges"), F.count_if(F.col("size") > 0).alias("sparse_zone_flows")
