@@ -137,15 +137,17 @@ def identify(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> Data
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE, least: float = 0.4) -> DataFrame:
     """The rows of ``docs`` whose language is known: texts without a letter, and ambiguous texts with a
-    score under ``least``, go. Rows pass through one function with their columns, so no text is shuffled."""
+    score under ``least``, go. Rows pass through one function with their columns, whatever their names, so no
+    text is shuffled."""
     coder = fit(docs, sample)
-    decide = _predict(coder)
+    decide, at = _predict(coder), docs.columns.index("text")
 
     @frugal
     def run(batches):
         for b in batches:
             ids = pa.nulls(b.num_rows, pa.int64())
-            view = pa.RecordBatch.from_arrays([ids, pa.nulls(b.num_rows, pa.bool_()), b.column("text")], names=["doc_id", "held_out", "text"])
+            text = b.column("row").flatten()[at]
+            view = pa.RecordBatch.from_arrays([ids, pa.nulls(b.num_rows, pa.bool_()), text], names=["doc_id", "held_out", "text"])
             keep = [
                 name != "und" and not (unsure and score < least)
                 for part in decide([view])
@@ -153,4 +155,5 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE,
             ]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.mapInArrow(run, rows.schema).select("row.*")

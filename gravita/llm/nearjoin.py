@@ -263,15 +263,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` of which each component keeps one, with all their columns. Every row is a document
-    of its own: the smallest id stays, a null id counts as the largest, and of rows that share it any one."""
+    """The rows of ``docs`` of which each component keeps one, with all their columns, whatever their names. Every
+    row is a document of its own: the smallest id stays, a null id counts as the largest, and of rows that share it
+    any one."""
     scratch = Scratch(spark, "near-rows")
-    rows = numbered(scratch, docs, ROW)
-    found = classes(scratch, rows.select(F.col(ROW).alias("node"), "text")).select(F.col("node").alias(ROW), "component")
-    members = found.join(rows.select(ROW, "doc_id"), ROW)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = numbered(scratch, docs.select(whole), ROW)
+    found = classes(scratch, rows.select(F.col(ROW).alias("node"), F.col("row.text").alias("text"))).select(F.col("node").alias(ROW), "component")
+    members = found.join(rows.select(ROW, F.col("row.doc_id").alias("doc_id")), ROW)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))
     first = members.groupBy("component").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     left = Scratch(spark, "near-gone")
     gone = left.write(members.join(first, "component").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW))
     scratch.drop_all(rows)
-    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
+    return rows.join(gone, ROW, "left_anti").select("row.*")

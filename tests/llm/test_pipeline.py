@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_operators import DOCS, library
 
@@ -89,6 +91,20 @@ def test_whole_run(spark, tmp_path):
         assert at <= 2048 and at & (at - 1) == 0
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that the operators use themselves come back with their own values."""
+    own = ("_row", "row", "tied", "node", "keep_id", "component", "spans", "key", "lang_pred", "a.b")
+    rows = [(i, passage(i)) for i in range(6)] + [(6, passage(3)), (7, changed(passage(4)))]
+    docs = table(spark, rows)
+    for name in own:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, "")
+        assert found.columns == docs.columns, name
+        for r in found.collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in own), name
+
+
 def test_stages_take_an_empty_table(spark):
     docs = table(spark, [])
     for name, stage in corpus_pipeline.STAGES:
