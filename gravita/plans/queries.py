@@ -47,6 +47,20 @@ def geojson_scan(spark, sf_dir):
     return prepare.with_area_id(_features(spark, sf_dir)).select("area_id", F.col("properties")["dpto"].alias("dpto"), "type")
 
 
+@query("SELECT o_orderkey, concat('}', o_orderstatus, '\"') AS status, round(CAST(o_orderkey % 1000 AS DOUBLE) / 8e0, 3) AS west, CAST(NULL AS INT) AS srid FROM orders")
+def collection_round_trip(spark, sf_dir):
+    """One collection of a feature for each order, written by all tasks and read by all tasks."""
+    orders = table(spark, sf_dir, "orders")
+    x = F.format_string("%.3f", F.col("o_orderkey") % 1000 / F.lit(8.0))
+    ring = F.concat(F.lit("[[["), x, F.lit(",0],["), x, F.lit(",1],[0,1],["), x, F.lit(",0]]]"))
+    status = F.concat(F.lit("}"), "o_orderstatus", F.lit('"'))
+    properties = F.create_map(F.lit("id"), F.col("o_orderkey").cast("string"), F.lit("status"), status)
+    folder = tables.shared_folder(spark)
+    writers.write_layers({"orders": orders.select(F.lit("Polygon").alias("type"), ring.alias("coordinates"), properties.alias("properties"))}, folder)
+    read = readers.rings(readers.read_geojson(spark, f"{folder}/orders.geojson"))
+    return read.select(F.col("properties")["id"].cast("long").alias("o_orderkey"), F.col("properties")["status"].alias("status"), F.col("rings")[0][0][0].alias("west"), "srid")
+
+
 def _html(spark, sf_dir):
     row = "concat('<tr><td>', n_name, '</td><td> ', lpad(cast(n_nationkey AS string), 9, '0'), '</td><td>', n_nationkey * 1000, '.5</td><td>-</td><td></td><td>1,', n_nationkey, '</td></tr><tr><td>Total</td></tr>')"
     return table(spark, sf_dir, "nation").selectExpr("cast(n_nationkey AS bigint) AS page", f"concat('<table><tr><th>x</th></tr>', {row}, '</table>') AS html")
@@ -65,9 +79,18 @@ def html_table_extract_flat(spark, sf_dir):
     return readers.stats_rows(readers.flat_html_rows(_html(spark, sf_dir), "page", "html"))
 
 
-@query("SELECT page_id, count(*) AS rows_found FROM (SELECT page_id, unnest(regexp_extract_all(html, '<tr[ >]')) AS r FROM pages) GROUP BY page_id")
+@query("""SELECT page_id, row, cells FROM (SELECT page_id, page_id % 7 AS k, url FROM pages), LATERAL (VALUES
+  (0, CAST(k AS VARCHAR) || '|a & b|' || url), (1, ''), (2, 'x<y'), (3, '0' || k || '|tail')) AS v(row, cells)""")
 def html_rows_of_pages(spark, sf_dir):
-    return readers.html_rows(table(spark, sf_dir, "pages"), "page_id", "html").groupBy("page_id").agg(F.count(F.lit(1)).alias("rows_found"))
+    """Tables put into the pages: attributes, upper case, entities, header cells, nested marks, and a last row that
+    is never closed and so doesn't count."""
+    k, url = (F.col("page_id") % 7).cast("string"), F.col("url")
+    rows = F.concat(
+        F.lit("<TABLE class='x'><tr id=1><td> "), k, F.lit("\n</td><TD align=left>a &amp; b</TD><td><b>"), url, F.lit("</b></td></tr><tr><th>head</th></tr>"),
+        F.lit("<tr><td>x&lt;y</td><!-- <td>no</td> --></tr><tr><td>&#48;"), k, F.lit("</td><td>tail</td></tr><tr><td>open</table>"),
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.coalesce("html", F.lit("")), rows).alias("html"))
+    return readers.html_rows(pages, "page_id", "html").select("page_id", "row", F.array_join("cells", "|").alias("cells"))
 
 
 @query("SELECT o_orderkey, regexp_matches(tag, '^[0-9]{4}-[0-9]{2}-[0-9]{2}\\.[0-9]+$') AS ok FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE concat(strftime(o_orderdate, '%Y-%m-%d'), '.', o_orderkey % 10) END AS tag FROM orders)")

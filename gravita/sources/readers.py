@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import little_endian
 from ..operators.geometry import wkb_area
+from .collections import read_features
 
 FEATURES = "type string, crs string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
 STATS = "area_id string, population double, jobs double"
@@ -31,7 +32,16 @@ def features_of(documents: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    return features_of(spark.read.text(path, wholetext=True))
+    """The same of files, split over tasks by bytes: a file isn't read as one row. ``ord`` counts up over a file,
+    not without gaps."""
+    found, outside = read_features(spark, path)
+    system = F.get_json_object("text", "$.crs")
+    srid = F.nullif(F.regexp_extract(F.coalesce(system, F.lit("")), "EPSG:+([0-9]+)", 1), F.lit("")).cast("int")
+    one = FEATURES[FEATURES.index("struct<") : -1]
+    rows = found.select("file", F.col("place").alias("ord"), F.from_json("text", one).alias("f"))
+    return rows.join(outside.select("file", srid.alias("srid")), "file").select(
+        "ord", F.coalesce("f.properties", F.create_map().cast("map<string,string>")).alias("properties"), "f.geometry.type", "f.geometry.coordinates", "srid"
+    )
 
 
 def rings(features: DataFrame) -> DataFrame:

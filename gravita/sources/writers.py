@@ -1,4 +1,4 @@
-"""Sinks. Tables are written by Spark; only documents whose size the run bounds are built on the driver."""
+"""Sinks. Tasks write tables and documents; only small files of settings and archives are built on the driver."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ import zipfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .collections import Folder, write_document
+
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     """Header, fixed column order, quotes doubled."""
@@ -32,27 +34,30 @@ def write_features(df: DataFrame, path: str) -> None:
 
 def export_collection(df: DataFrame, path: str, marker: str, release: str, refresh: bool = True) -> bool:
     """One GeoJSON collection of the features, put in place whole, and a file beside it that names the
-    release. Without ``refresh`` a file of the same release is used again. Says whether it was written."""
-    if not refresh and os.path.exists(path) and os.path.exists(marker):
-        with open(marker, encoding="utf-8") as f:
-            if f.read().strip() == release:
-                return False
-    with open(f"{path}.part", "w", encoding="utf-8") as f:
-        f.write('{"type":"FeatureCollection","features":[')
-        for i, row in enumerate(_feature_lines(df).toLocalIterator()):
-            f.write(("," if i else "") + "\n" + row.value)
-        f.write("\n]}\n")
-    os.replace(f"{path}.part", path)
-    replace_file(marker, f"{release}\n")
+    release. Without ``refresh`` a file of the same release is used again. Says whether it was written. Tasks
+    write the features; both files may lie on any file system that Spark reaches."""
+    spark = df.sparkSession
+    folder = Folder(spark)
+    if not refresh and folder.exists(path) and (folder.text(marker) or "").strip() == release:
+        return False
+    write_document(spark, path, [('{"type":"FeatureCollection","features":[\n', _feature_lines(df))], "]}\n")
+    folder.put(marker, [f"{release}\n"])
     return True
 
 
-def demand_document(points: DataFrame, pops: DataFrame, most: int) -> str:
-    """The compact document of points and pops; more than ``most`` pops are an error, as it is built here."""
+def write_layers(layers: dict[str, DataFrame], path: str) -> None:
+    """A collection NAME.geojson for each layer of features in a folder."""
+    for name, df in layers.items():
+        write_document(df.sparkSession, f"{path}/{name}.geojson", [('{"type":"FeatureCollection","features":[\n', _feature_lines(df))], "]}\n")
+
+
+def write_demand(points: DataFrame, pops: DataFrame, path: str, most: int) -> None:
+    """The document of points and pops, in order of their ids; more than ``most`` pops are an error. Tasks write
+    both, so neither has to fit the driver."""
     if pops.limit(most + 1).count() > most:
         raise ValueError(f"More than {most} populations")
-    rows = lambda df, order: [json.loads(r[0]) for r in df.orderBy(order).select(F.to_json(F.struct("*"))).collect()]
-    return json.dumps({"points": rows(points, "id"), "pops": rows(pops, "id")}, separators=(",", ":"), ensure_ascii=False)
+    rows = lambda df: df.orderBy("id").select(F.to_json(F.struct("*")).alias("value"))
+    write_document(points.sparkSession, path, [('{"points":[\n', rows(points)), ('],"pops":[\n', rows(pops))], "]}\n")
 
 
 def replace_file(path: str, text: str) -> None:
