@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import geo, scalar
-from ..operators import allocate, checks, cluster, emit, geometry, gravity, prepare, report, spatial, tables
+from ..operators import allocate, checks, cluster, emit, geometry, gravity, overlay, prepare, report, spatial, tables
 from ..sources import readers, writers
 from . import demand, views
 from .views import BBOX, KM, POPS, RADIOS, RAW, WEIGHTS, WORKPLACES, YEAR, ZONED, ZONE_DEGREES, table
@@ -440,6 +440,22 @@ def dissolve_closed(spark, sf_dir):
     return rows.groupBy("region_id").agg(F.sum(F.size("steps")).alias("segments"), F.sum(places).alias("places"), F.bool_and(closed).alias("closed"))
 
 
+@query("""WITH boxes AS (SELECT CAST(c_nationkey % 3 AS INT) AS region_id, c_custkey * 7919 % 181 AS x, c_custkey * 104729 % 97 AS y, 1 + c_custkey % 3 AS w, 1 + c_custkey % 2 AS h FROM customer),
+filled AS (SELECT DISTINCT region_id, x, yy AS y FROM (SELECT region_id, x, unnest(range(y, y + h)) AS yy FROM (SELECT region_id, unnest(range(x, x + w)) AS x, y, h FROM boxes))),
+sides AS (SELECT region_id, count(*) AS n FROM filled f, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) AS d(a, b) WHERE NOT EXISTS (SELECT 1 FROM filled g WHERE g.region_id = f.region_id AND g.x = f.x + a AND g.y = f.y + b) GROUP BY region_id)
+SELECT region_id, CAST(count(*) AS DOUBLE) / 4 AS area, CAST(max(n) AS DOUBLE) / 2 AS perimeter FROM filled JOIN sides USING (region_id) GROUP BY region_id""")
+def dissolve_overlaps(spark, sf_dir):
+    """Rectangles that overlap, touch along parts of their sides, and repeat, on a grid of halves."""
+    k = F.col("c_custkey")
+    x, y = (k * 7919 % 181) / 2, (k * 104729 % 97) / 2
+    w, h = (1 + k % 3) / 2, (1 + k % 2) / 2
+    corner = lambda a, b: F.array(x + a, y + b)
+    zero = F.lit(0.0)
+    ring = F.array(corner(zero, zero), corner(w, zero), corner(w, h), corner(zero, h), corner(zero, zero))
+    areas = table(spark, sf_dir, "customer").select((F.col("c_nationkey") % 3).cast("int").alias("region_id"), F.array(F.array(ring)).alias("parts"))
+    return overlay.measures(overlay.dissolved(areas)).select("region_id", F.round("area", 6).alias("area"), F.round("perimeter", 6).alias("perimeter"))
+
+
 @query("WITH c AS (SELECT o_custkey AS k, o_orderkey AS n FROM orders) SELECT k, max(n) AS n FROM c GROUP BY k")
 def dedupe_last_wins(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("n"), F.col("o_orderkey").alias("ord"))
