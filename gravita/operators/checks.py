@@ -4,9 +4,11 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -142,6 +144,97 @@ def demand(points: DataFrame, pops: DataFrame, box, most_size: int, most_pops: i
     return rules
 
 
+def _digest(pop: Column) -> tuple[Column, Column, Column]:
+    """Aggregates by which lists of populations are compared without being put together: number, sum and parity of
+    64-bit hashes."""
+    h = F.when(pop.isNotNull(), F.xxhash64(pop))
+    return F.count(pop), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)
+
+
+@dataclass(frozen=True)
+class Document:
+    """A demand document with what it is held against. points: id, lon, lat, jobs, residents, popIds; pops: id,
+    residenceId, jobId, size; allowed: lon, lat of places that may have jobs; more: rules about other files."""
+
+    points: DataFrame
+    pops: DataFrame
+    box: tuple[float, float, float, float]
+    most_size: int
+    most_pops: int
+    population: int
+    expected: int | None = None
+    allowed: DataFrame | None = None
+    more: tuple[DataFrame, ...] = ()
+
+    def rules(self) -> list[DataFrame]:
+        """Every rule's offenders, in order."""
+        own = demand(self.points, self.pops, self.box, self.most_size, self.most_pops, self.population, self.expected, self.allowed)
+        return [*own, *self.more]
+
+    def counted(self) -> dict[str, int]:
+        """How many rows break the rules that counts, sums and one join can tell: one job reads both tables once.
+        Without points or populations there is nothing to observe, and every rule counts as broken till it is run."""
+        empty = {"points_empty": int(self.points.isEmpty()), "pops_empty": int(self.pops.isEmpty())}
+        if any(empty.values()):
+            return dict.fromkeys(("budget", "point_count", "references", "sizes", "in_bbox", "pop_ids", "point_totals", "global_totals"), 1) | empty
+        total, rows = lambda c: F.coalesce(F.sum(c), F.lit(0)), F.count(F.lit(1)).alias("rows")
+        told = {name: Observation(f"{name}-{uuid.uuid4().hex}") for name in ("points", "pops", "both")}
+        pops = self.pops.observe(told["pops"], rows, total("size").alias("size"), F.count_if((F.col("size") <= 0) | (F.col("size") > self.most_size) | F.col("size").isNull()).alias("sizes"))
+        outside = ~F.coalesce(geo.inside(F.col("lon"), F.col("lat"), self.box), F.lit(False))
+        points = self.points.observe(told["points"], rows, total("residents").alias("residents"), total("jobs").alias("jobs"), F.count_if(outside).alias("in_bbox"))
+        zero = F.lit(0).cast("long")
+        role = lambda point, r, j, pop: F.struct(F.col(point).alias("point"), r.alias("r"), j.alias("j"), pop.alias("pop"))
+        at_work = F.when(F.col("jobId").eqNullSafe(F.col("residenceId")), F.lit(None)).otherwise(F.col("id"))
+        parts = pops.select(F.explode(F.array(role("residenceId", F.col("size"), zero, F.col("id")), role("jobId", zero, F.col("size"), at_work))).alias("x")).select("x.*")
+        sums = parts.groupBy("point").agg(total("r").alias("r"), total("j").alias("j"), *(c.alias(f"real{i}") for i, c in enumerate(_digest(F.col("pop")))))
+        hashes = F.transform("popIds", lambda p: F.xxhash64(p))
+        listed = (
+            F.size("popIds").cast("long"),
+            F.aggregate(hashes, F.lit(0).cast("decimal(38,0)"), lambda a, h: (a + h).cast("decimal(38,0)")), F.aggregate(hashes, zero, lambda a, h: a.bitwiseXOR(h)),
+        )
+        same = F.lit(True)
+        for i, c in enumerate(listed):
+            same = same & (c == F.coalesce(f"real{i}", F.lit(0)))
+        both = points.join(sums, points["id"] == sums["point"], "full_outer")
+        known = F.col("id").isNotNull()
+        off = (F.col("residents") != F.coalesce("r", F.lit(0))) | (F.col("jobs") != F.coalesce("j", F.lit(0)))
+        both = both.observe(
+            told["both"], F.count_if(F.col("point").isNotNull() & ~known).alias("references"),
+            F.count_if(known & ~F.coalesce(same, F.lit(False))).alias("pop_ids"), F.count_if(known & F.coalesce(off, F.lit(True))).alias("point_totals"),
+        )
+        both.write.format("noop").mode("overwrite").save()
+        a, b = told["points"].get, told["pops"].get
+        unequal = int(not (a["residents"] == a["jobs"] == b["size"] == self.population))
+        return {
+            **empty, "budget": int(b["rows"] > self.most_pops),
+            "point_count": int(self.expected is not None and a["rows"] != self.expected), "sizes": b["sizes"], "in_bbox": a["in_bbox"],
+            "global_totals": unequal, **told["both"].get,
+        }
+
+    def broken(self) -> set[str]:
+        """Names of the rules that are broken, in two jobs: counts and sums in one, the others in another."""
+        counted = self.counted()
+        rest = [unique(self.points, "point_ids", "id"), unique(self.points, "coordinates", "lon", "lat"), unique(self.pops, "population_ids", "id"), *self.more]
+        rest += [job_locations(self.points, self.allowed)] if self.allowed is not None else []
+        found = reduce(DataFrame.unionByName, rest).select("rule").distinct().collect()  # as many as there are rules
+        return {name for name, n in counted.items() if n} | {r.rule for r in found}
+
+    def offenders(self) -> DataFrame:
+        """step, rule, offender of every broken rule; those that hold aren't run again."""
+        broken = self.broken()
+        names = ["points_empty", "pops_empty", "budget", *(["point_count"] if self.expected is not None else []), "point_ids", "coordinates"]
+        names += [*(["job_locations"] if self.allowed is not None else []), "population_ids", "references", "sizes", "in_bbox", "pop_ids", "point_totals", "global_totals"]
+        steps = [(i, r) for i, r in enumerate(self.rules()) if i >= len(names) or names[i] in broken]
+        none = self.points.sparkSession.createDataFrame([], f"step int, {OFFENCE}")
+        return reduce(DataFrame.unionByName, (r.select(F.lit(i).alias("step"), "rule", "offender") for i, r in steps), none)
+
+    def check(self) -> None:
+        """Raise the first offence."""
+        row = self.offenders().orderBy("step", "offender").first()
+        if row is not None:
+            raise ValueError(f"{row.rule}: {row.offender}")
+
+
 def failures(rules: list[DataFrame]) -> DataFrame:
     """All offenders: step (the rule's place), rule, offender."""
     numbered = [r.select(F.lit(i).alias("step"), "rule", "offender") for i, r in enumerate(rules)]

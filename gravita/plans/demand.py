@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..operators import allocate, checks, cluster, emit, gravity, report, spatial
 from ..operators.tables import integerize, kept, some
+from ..sources import writers
 
 
 @dataclass(frozen=True)
@@ -19,12 +20,16 @@ class Demand:
     report: DataFrame
     clusters: DataFrame
 
-    def rules(self, config: Config, population: int) -> list[DataFrame]:
+    def document(self, config: Config, population: int, expected: int | None = None, allowed: DataFrame | None = None) -> checks.Document:
+        """With all rules; ``population`` is what the configuration states."""
         flat = self.points.select("id", F.col("location")[0].alias("lon"), F.col("location")[1].alias("lat"), "jobs", "residents", "popIds")
-        return [
-            *checks.demand(flat, self.pops, config.bbox, config.maximum_population_size, config.maximum_population_count, population),
-            checks.report(self.report, config.maximum_population_count),
-        ]
+        more = checks.report(self.report, config.maximum_population_count, expected)
+        return checks.Document(flat, self.pops, config.bbox, config.maximum_population_size, config.maximum_population_count, population, expected, allowed, (more,))
+
+    def write(self, path: str, config: Config, population: int, expected: int | None = None, allowed: DataFrame | None = None) -> None:
+        """The document, if it breaks no rule; else the first offence is raised and nothing is written."""
+        self.document(config, population, expected, allowed).check()
+        writers.write_demand(self.points, self.pops, path, config.maximum_population_count)
 
 
 def build(radios: DataFrame, workplaces: DataFrame, config: Config, budget: DataFrame | None = None) -> Demand:
@@ -57,6 +62,9 @@ def build(radios: DataFrame, workplaces: DataFrame, config: Config, budget: Data
     held = capacities.join(clusters.select("cluster", "zone"), "cluster").join(destinations.select("d", "zone"), "zone")
     held = held.select("d", F.col("cluster").alias("dc"), F.col("capacity").alias("size"))
     assigned = kept(allocate.disaggregate(flows.select("o", "d", "size"), own, held))
+    for side, wanted in (("oc", own), ("dc", held)):
+        if not allocate.margin_errors(assigned, wanted.filter("size > 0"), side).isEmpty():
+            raise ValueError(f"Flows between clusters don't add up to the targets of {side}")
     residual = targets.select(F.col("cluster").alias("oc"), (F.col("employed") - F.col("formal")).alias("size"))
     pops = kept(emit.populations(assigned, residual, clusters.select("cluster", "id", "lon", "lat"), config.maximum_population_size))
     points = kept(emit.demand_points(clusters.select("id", "lon", "lat"), pops))

@@ -831,6 +831,50 @@ def check_config_code(spark, sf_dir):
     return checks.config_code(table(spark, sf_dir, "nation").select(said.alias("json")), "ABC")
 
 
+def _broken_document(spark, sf_dir) -> checks.Document:
+    """With faults of many kinds."""
+    n = F.substring("id", 2, 10).cast("int")
+    points = tables.kept(_points(spark, sf_dir)).filter(n % 50 != 7)
+    moved = lambda c, to: F.when(n.isin(11, 12), F.lit(to)).otherwise(F.col(c)).alias(c)
+    changed = F.when(n % 40 == 5, F.array_append("popIds", F.col("popIds")[0])).otherwise(F.col("popIds"))
+    points = points.select("id", moved("lon", -59.0), moved("lat", -35.0), (F.col("jobs") + F.when(n % 40 == 3, 1).otherwise(0)).alias("jobs"), "residents", changed.alias("popIds"))
+    allowed = points.select("lon", "lat").filter("lon <> -59.0")
+    names = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"))
+    configs = names.select(F.when(F.col("n_nationkey") % 3 == 1, F.lit('{"code":"XYZ"}')).otherwise(F.lit('{"code":"ABC"}')).alias("json"))
+    more = checks.config_code(configs, "ABC"), checks.required_files(names.filter("n_nationkey % 4 <> 1"), names)
+    return checks.Document(points, views.populations(spark, sf_dir), (-59.5, -35.3, -58.8999, -34.0), 190, 1000, -1, 7, allowed, more)
+
+
+@query(f"""WITH {POPS}, p AS (SELECT point, CAST(substr(point, 2) AS INT) AS n, sum(residents) AS residents, sum(jobs) + CASE WHEN CAST(substr(point, 2) AS INT) % 40 = 3 THEN 1 ELSE 0 END AS jobs
+  FROM roles GROUP BY point HAVING CAST(substr(point, 2) AS INT) % 50 <> 7),
+t AS (SELECT concat_ws(',', (SELECT sum(residents) FROM p), (SELECT sum(jobs) FROM p), (SELECT sum(size) FROM pops)) AS sums)
+SELECT 'budget' AS rule, CAST(count(*) AS VARCHAR) AS offender FROM orders
+UNION ALL SELECT 'point_count', CAST(count(*) AS VARCHAR) FROM p
+UNION ALL SELECT 'coordinates', '-59.0,-35.0' FROM p WHERE n IN (11, 12) HAVING count(*) > 1
+UNION ALL SELECT 'job_locations', '-59.0,-35.0' FROM p WHERE n IN (11, 12) AND jobs > 0 HAVING count(*) > 0
+UNION ALL SELECT DISTINCT 'references', pop FROM roles WHERE CAST(substr(point, 2) AS INT) % 50 = 7
+UNION ALL SELECT 'sizes', id FROM pops WHERE size > 190
+UNION ALL SELECT 'in_bbox', point FROM p WHERE n > 200 AND n NOT IN (11, 12)
+UNION ALL SELECT DISTINCT 'pop_ids', point FROM roles WHERE listed AND CAST(substr(point, 2) AS INT) % 40 = 5 AND CAST(substr(point, 2) AS INT) % 50 <> 7
+UNION ALL SELECT 'point_totals', point FROM p WHERE n % 40 = 3
+UNION ALL SELECT 'global_totals', sums FROM t
+UNION ALL SELECT 'config_code', 'XYZ' FROM nation WHERE n_nationkey % 3 = 1
+UNION ALL SELECT 'required_files', n_name FROM nation WHERE n_nationkey % 4 = 1""")
+def validate_document(spark, sf_dir):
+    """Every broken rule's offenders; rules that hold give none."""
+    return _broken_document(spark, sf_dir).offenders().select("rule", "offender")
+
+
+@query(f"""WITH {POPS}, p AS (SELECT DISTINCT point, CAST(substr(point, 2) AS INT) AS n FROM roles)
+SELECT 'references' AS rule, count(*) AS broken FROM p WHERE n % 50 = 7 UNION ALL SELECT 'sizes', count(*) FROM pops WHERE size > 190
+UNION ALL SELECT 'in_bbox', count(*) FROM p WHERE n % 50 <> 7 AND n > 200 AND n NOT IN (11, 12)
+UNION ALL SELECT 'pop_ids', count(*) FROM p WHERE n % 50 <> 7 AND n % 40 = 5 UNION ALL SELECT 'point_totals', count(*) FROM p WHERE n % 50 <> 7 AND n % 40 = 3
+UNION ALL SELECT unnest(['budget', 'point_count', 'global_totals']), 1 UNION ALL SELECT unnest(['points_empty', 'pops_empty']), 0""")
+def validate_counts(spark, sf_dir):
+    """What the job that reads both tables once says of each rule that it covers."""
+    return spark.createDataFrame(sorted(_broken_document(spark, sf_dir).counted().items()), "rule string, broken long")
+
+
 # Whole runs
 
 
