@@ -6,6 +6,8 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,22 +115,95 @@ def wkb_area(geometry: str) -> Column:
     return area(F.col(geometry))
 
 
-def thinned(p: np.ndarray, tolerance: float) -> np.ndarray:
-    """Points that the line between kept neighbours misses by more than the tolerance."""
-    keep, todo = np.zeros(len(p), bool), [(0, len(p) - 1)]
-    keep[[0, -1]] = True
-    while todo:
-        i, j = todo.pop()
-        if j - i < 2:
-            continue
-        a, d = p[i], p[j] - p[i]
-        away, n = p[i + 1 : j] - a, float(np.hypot(*d))
-        far = np.abs(d[0] * away[:, 1] - d[1] * away[:, 0]) / n if n else np.hypot(*away.T)
-        k = int(far.argmax())
-        if far[k] > tolerance:
-            keep[i + 1 + k] = True
-            todo += [(i, i + 1 + k), (i + 1 + k, j)]
-    return p[keep]
+def kept_points(p: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: float) -> np.ndarray:
+    """Of chains of points, from ``first`` to ``last`` in one buffer, those that the line between kept neighbours
+    misses by more than the tolerance, and all ends. All chains are cut at once: each pass measures every point
+    that still lies inside a piece, keeps the furthest of each piece that is far enough (the first of equals),
+    and goes on with the two pieces it makes."""
+    keep = np.zeros(len(p), bool)
+    keep[first], keep[last] = True, True
+    while True:
+        long = last - first > 1
+        first, last = first[long], last[long]
+        if not len(first):
+            return keep
+        size = last - first - 1
+        begin = np.cumsum(size) - size
+        piece = np.repeat(np.arange(len(size)), size)
+        at = np.arange(len(piece)) - begin[piece] + first[piece] + 1
+        d = (p[last] - p[first])[piece]
+        away = p[at] - p[first[piece]]
+        n = np.hypot(d[:, 0], d[:, 1])
+        with np.errstate(invalid="ignore", divide="ignore"):
+            far = np.where(n > 0, np.abs(d[:, 0] * away[:, 1] - d[:, 1] * away[:, 0]) / n, np.hypot(away[:, 0], away[:, 1]))
+        most = np.maximum.reduceat(far, begin)
+        top = np.minimum.reduceat(np.where(far == most[piece], at, len(p)), begin)
+        cut = most > tolerance
+        keep[top[cut]] = True
+        first, last = np.concatenate([first[cut], top[cut]]), np.concatenate([top[cut], last[cut]])
+
+
+class Outlines:
+    """Polygons of a batch as one buffer of points, cut into rings and those into polygons; null ones have no rings."""
+
+    def __init__(self, points: np.ndarray, rings: np.ndarray, shapes: np.ndarray):
+        self.points, self.rings, self.shapes = points, rings, shapes  # both with the end
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Outlines:
+        """From lists of rings of points, of which the first two numbers count."""
+        if column.null_count:
+            column = pc.if_else(column.is_valid(), column, pa.scalar([], column.type))
+        ring_lists, point_lists = column.flatten(), column.flatten().flatten()
+        ends = lambda lists: np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        wide = ends(point_lists)
+        numbers = point_lists.flatten().to_numpy(zero_copy_only=False).astype(float)
+        points = np.stack([numbers[wide[:-1]], numbers[wide[:-1] + 1]], 1) if len(point_lists) else np.zeros((0, 2))
+        return cls(points, ends(ring_lists), ends(column))
+
+    def column(self, missing: np.ndarray | None = None) -> pa.Array:
+        """Lists of rings of points; ``missing`` says which polygons are null."""
+        numbers = pa.array(self.points.ravel())
+        points = pa.ListArray.from_arrays(pa.array(np.arange(len(self.points) + 1) * 2, pa.int32()), numbers)
+        rings = pa.ListArray.from_arrays(pa.array(self.rings, pa.int32()), points)
+        out = pa.ListArray.from_arrays(pa.array(self.shapes, pa.int32()), rings)
+        return out if missing is None else pc.if_else(pa.array(~missing), out, pa.nulls(len(out), out.type))
+
+    def ring_of(self) -> np.ndarray:
+        """The ring of each point."""
+        return np.repeat(np.arange(len(self.rings) - 1), np.diff(self.rings))
+
+    def shape_of(self) -> np.ndarray:
+        """The polygon of each ring."""
+        return np.repeat(np.arange(len(self.shapes) - 1), np.diff(self.shapes))
+
+    def with_points(self, keep: np.ndarray) -> Outlines:
+        kept = np.concatenate([[0], np.cumsum(keep)])
+        return Outlines(self.points[keep], kept[self.rings], self.shapes)
+
+    def with_rings(self, keep: np.ndarray) -> Outlines:
+        kept = np.concatenate([[0], np.cumsum(keep)])
+        size = np.diff(self.rings)
+        return Outlines(self.points[np.repeat(keep, size)], np.concatenate([[0], np.cumsum(size[keep])]), kept[self.shapes])
+
+    def areas(self) -> np.ndarray:
+        """Signed planar area of each ring."""
+        p, ring = self.points, self.ring_of()
+        if not len(p):
+            return np.zeros(len(self.rings) - 1)
+        q = p - p[self.rings[ring]]
+        turn = np.zeros(len(p))
+        turn[:-1] = np.where(ring[1:] == ring[:-1], q[:-1, 0] * q[1:, 1] - q[1:, 0] * q[:-1, 1], 0)
+        return np.bincount(ring, turn, len(self.rings) - 1) / 2
+
+    def thinned(self, tolerance: float, halves: bool = False) -> Outlines:
+        """Rings, or each half of them, as chains of ``kept_points``."""
+        size = np.diff(self.rings)
+        first, last = self.rings[:-1][size > 0], self.rings[1:][size > 0] - 1
+        if halves:
+            middle = first + (last - first + 1) // 2
+            first, last = np.concatenate([first, middle]), np.concatenate([middle, last])
+        return self.with_points(kept_points(self.points, first, last, tolerance))
 
 
 class Grid:
@@ -162,38 +237,43 @@ class Grid:
         return np.degrees(np.stack([self.meridian + np.arctan2(np.sinh(east), np.cos(north)), lat], 1))
 
 
-def cleaned(rings: list[np.ndarray], grid: Grid, snap: float, least_area: float, tolerance: float, places: int = 5) -> list[np.ndarray] | None:
-    """The rings of one polygon after its points were snapped to a grid of metres and thinned, in rounded
-    degrees; none if its area in square metres isn't more than the least. Rings that collapse go."""
-    flat = []
-    for r in rings:
-        p = np.round(grid.metres(r) / snap) * snap
-        p = p[np.concatenate([[True], (np.diff(p, axis=0) != 0).any(1)])]
-        if len(p) > 3 and (p[0] == p[-1]).all() and _ring_area(p):
-            flat.append(p)
-    if not flat or abs(_ring_area(flat[0])) - sum(abs(_ring_area(h)) for h in flat[1:]) <= least_area:
-        return None
-    half = lambda p: len(p) // 2
-    thin = [np.concatenate([thinned(p[: half(p) + 1], tolerance), thinned(p[half(p) :], tolerance)[1:]]) for p in flat]
-    return [np.round(grid.degrees(p), places) for p in thin if len(p) > 3]
+def cleaned(shapes: Outlines, grid: Grid, snap: float, least_area: float, tolerance: float, places: int = 5) -> tuple[Outlines, np.ndarray]:
+    """Polygons after their points were snapped to a grid of metres and thinned, in rounded degrees, and which of
+    them go, as their area in square metres isn't more than the least. Rings that collapse go."""
+    flat = Outlines(np.round(grid.metres(shapes.points) / snap) * snap, shapes.rings, shapes.shapes)
+    ring = flat.ring_of()
+    moved = np.ones(len(ring), bool)
+    moved[1:] = (ring[1:] != ring[:-1]) | (flat.points[1:] != flat.points[:-1]).any(1)
+    flat = flat.with_points(moved)
+    size = np.diff(flat.rings)
+    solid = size > 3
+    solid[solid] = (flat.points[flat.rings[:-1][solid]] == flat.points[flat.rings[1:][solid] - 1]).all(1)
+    flat = flat.with_rings(solid & (flat.areas() != 0))
+    area, shape = np.abs(flat.areas()), flat.shape_of()
+    outer = np.diff(shape, prepend=-1) != 0
+    total = np.bincount(shape, np.where(outer, area, -area), len(flat.shapes) - 1)
+    large = (np.diff(flat.shapes) > 0) & (total > least_area)
+    flat = flat.with_rings(large[shape]).thinned(tolerance, halves=True)
+    flat = flat.with_rings(np.diff(flat.rings) > 3)
+    return Outlines(np.round(grid.degrees(flat.points), places), flat.rings, flat.shapes), ~large | (np.diff(flat.shapes) == 0)
 
 
 def clean_outline(rings: str, meridian: float, snap: float = 0.5, least_area: float = 0.0, tolerance: float = 0.25) -> Column:
     """Column form of ``cleaned``; null for polygons that go."""
     grid = Grid(meridian)
 
-    @F.pandas_udf("array<array<array<double>>>")
-    def clean(values: pd.Series) -> pd.Series:
-        found = [None if v is None or not len(v) else cleaned(_rings(v), grid, snap, least_area, tolerance) for v in values]
-        return pd.Series([None if not f else [r.tolist() for r in f] for f in found])
+    @F.arrow_udf("array<array<array<double>>>")
+    def clean(values: pa.Array) -> pa.Array:
+        found, gone = cleaned(Outlines.of(values), grid, snap, least_area, tolerance)
+        return found.column(gone)
 
     return clean(F.col(rings))
 
 
 def simplified(rings: str, tolerance: float) -> Column:
-    @F.pandas_udf("array<array<array<double>>>")
-    def thin(values: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else [thinned(r, tolerance).tolist() for r in _rings(v)] for v in values])
+    @F.arrow_udf("array<array<array<double>>>")
+    def thin(values: pa.Array) -> pa.Array:
+        return Outlines.of(values).thinned(tolerance).column(values.is_null().to_numpy(zero_copy_only=False))
 
     return thin(F.col(rings))
 

@@ -110,15 +110,17 @@ def boundary_segments(areas: DataFrame) -> DataFrame:
 def cleaned_buildings(features: DataFrame, meridian: float, least_area: float, snap: float = 0.5, tolerance: float = 0.25) -> DataFrame:
     """Building outlines, one row for each part of more than an area: projected to metres about a meridian,
     snapped, thinned and taken back to degrees of five places (column shape)."""
-    parts = single_parts(features, 9)
+    parts = single_parts(features, None)
     return parts.withColumn("shape", clean_outline("shape", meridian, snap, least_area, tolerance)).filter("shape IS NOT NULL")
 
 
-def single_parts(features: DataFrame, places: int = 5) -> DataFrame:
-    """MultiPolygons as one row for each part, coordinates rounded."""
+def single_parts(features: DataFrame, places: int | None = 5) -> DataFrame:
+    """MultiPolygons as one row for each part, coordinates rounded if asked for."""
     single = F.array(F.from_json("coordinates", "array<array<array<double>>>"))
     several = F.from_json("coordinates", "array<array<array<array<double>>>>")
     parts = F.when(F.col("type") == "Polygon", single).otherwise(several)
     rows = features.filter(F.col("type").isin("Polygon", "MultiPolygon")).select("*", F.posexplode(parts).alias("part", "shape"))
+    if places is None:
+        return rows
     near = F.transform("shape", lambda r: F.transform(r, lambda p: F.transform(p, lambda c: F.round(c, places))))
     return rows.withColumn("shape", near)

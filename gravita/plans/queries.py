@@ -693,6 +693,7 @@ def clean_buildings(spark, sf_dir):
     f = views.footprints(spark, sf_dir).select("height", "bbox.*")
     corner = lambda x, y: F.concat(F.lit("["), F.col(x), F.lit(","), F.col(y), F.lit("]"))
     ring = F.concat_ws(",", corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"), corner("xmin", "ymin"))
+    f = f.repartition(spark.sparkContext.defaultParallelism)  # the table is one small file
     features = f.select(F.col("height").cast("long").alias("o_orderkey"), F.lit("Polygon").alias("type"), F.concat(F.lit("[["), ring, F.lit("]]")).alias("coordinates"))
     found = prepare.cleaned_buildings(features, -57.0, 40.0, snap=0.01)
     return found.select("o_orderkey", F.size(F.col("shape")[0]).alias("points"))
@@ -716,6 +717,27 @@ def simplify_outline(spark, sf_dir):
     return shaped.select("area_id", F.size(F.flatten(geometry.simplified("rings", 0.00001))).alias("n_points"))
 
 
+@query("""WITH o AS (SELECT o_orderkey, 10 + o_orderkey % 20 AS s, (o_orderkey % 9) / 8e0 AS bulge, (o_orderkey % 7) / 8e0 AS dent FROM orders),
+p AS (SELECT o_orderkey, unnest([{'n': 0, 'x': 0e0, 'y': 0e0, 'k': true}, {'n': 1, 'x': CAST(s AS DOUBLE), 'y': -bulge, 'k': bulge > 0.5e0}, {'n': 2, 'x': 2e0 * s, 'y': 0e0, 'k': true},
+  {'n': 3, 'x': 2e0 * s, 'y': CAST(s AS DOUBLE), 'k': true}, {'n': 4, 'x': 1.5e0 * s, 'y': s - dent, 'k': dent > 0.5e0}, {'n': 5, 'x': CAST(s AS DOUBLE), 'y': CAST(s AS DOUBLE), 'k': true},
+  {'n': 6, 'x': CAST(s AS DOUBLE), 'y': 3e0 * s, 'k': true}, {'n': 7, 'x': 0e0, 'y': 3e0 * s, 'k': true}, {'n': 8, 'x': 0e0, 'y': 0e0, 'k': true}]) AS v FROM o)
+SELECT o_orderkey, count(*) AS points, sum(v.x * (v.n + 1)) AS xs, sum(v.y * (v.n + 1)) AS ys FROM p WHERE v.k GROUP BY o_orderkey""")
+def simplify_vertices(spark, sf_dir):
+    """L-shaped outlines with a bulge and a dent, which stay if they are deeper than half a unit; places are told by
+    sums over the points and their numbers."""
+    k = F.col("o_orderkey")
+    size, bulge, dent = (10 + k % 20).cast("double"), (k % 9) / 8, (k % 7) / 8
+    zero = F.lit(0.0)
+    corners = [(zero, zero), (size, -bulge), (2 * size, zero), (2 * size, size), (1.5 * size, size - dent), (size, size), (size, 3 * size), (zero, 3 * size), (zero, zero)]
+    ring = F.array(*(F.array(x, y) for x, y in corners))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", ring.alias("ring")).withColumn("rings", F.array("ring"))
+    thin = rows.withColumn("thin", geometry.simplified("rings", 0.5)[0])
+    number = lambda p: F.array_position(F.slice("ring", 1, 8), p).cast("double")
+    place = lambda p, i: F.when((i == F.size("thin") - 1), F.lit(9.0)).otherwise(number(p))
+    total = lambda c: F.aggregate(F.transform("thin", lambda p, i: p[c] * place(p, i)), F.lit(0.0), lambda a, x: a + x)
+    return thin.select("o_orderkey", F.size("thin").cast("long").alias("points"), total(0).alias("xs"), total(1).alias("ys"))
+
+
 # Validation
 
 
