@@ -364,7 +364,7 @@ def _workplaces(spark, sf_dir):
     return prepare.workplaces(views.establishments(spark, sf_dir), YEAR, BBOX, WEIGHTS, 0.005)
 
 
-@query(f"""WITH {WORKPLACES} SELECT concat('work_', lpad(CAST(n AS VARCHAR), greatest(6, length(CAST(n AS VARCHAR))), '0')) AS workplace_id,
+@query(f"""WITH {WORKPLACES} SELECT concat('work_', lpad(CAST(n AS VARCHAR), CAST(greatest(6, length(CAST(n AS VARCHAR))) AS INT), '0')) AS workplace_id,
   concat_ws('_', 'cell', CAST(floor(longitude / 0.005e0) AS BIGINT), CAST(floor(latitude / 0.005e0) AS BIGINT)) AS cell_id,
   round(longitude, 6) AS longitude, round(latitude, 6) AS latitude, employment_weight, establishments FROM places""")
 def prepare_workplaces(spark, sf_dir):
@@ -667,7 +667,7 @@ def population_chunks(spark, sf_dir):
 _EMIT = f"""WITH {RADIOS}, a AS (SELECT radio AS oc, (radio * 3) % (SELECT count(*) FROM radios) AS dc, employed AS size, 0 AS phase FROM radios UNION ALL SELECT radio, radio, employed // 2, 1 FROM radios),
 p AS (SELECT oc, dc, size, phase, unnest(generate_series(0, CAST(ceil(size / 200e0) AS BIGINT) - 1)) AS part FROM a WHERE size > 0),
 k AS (SELECT p.*, CASE WHEN phase = 1 THEN 0e0 ELSE {KM.format(a='h', b='j')} END AS km, row_number() OVER (ORDER BY phase, dc, oc, part) - 1 AS n FROM p JOIN radios h ON h.radio = oc JOIN radios j ON j.radio = dc)
-SELECT concat('pop_', lpad(CAST(n AS VARCHAR), greatest(8, length(CAST(n AS VARCHAR))), '0')) AS id, concat('r', oc) AS "residenceId", concat('r', dc) AS "jobId", CAST(round_even(km / 35e0 * 3600e0, 0) AS BIGINT) AS "drivingSeconds",
+SELECT concat('pop_', lpad(CAST(n AS VARCHAR), CAST(greatest(8, length(CAST(n AS VARCHAR))) AS INT), '0')) AS id, concat('r', oc) AS "residenceId", concat('r', dc) AS "jobId", CAST(round_even(km / 35e0 * 3600e0, 0) AS BIGINT) AS "drivingSeconds",
   CAST(round_even(km * 1000e0, 0) AS BIGINT) AS "drivingDistance", least(200, size - part * 200) AS size FROM k"""
 
 
