@@ -26,6 +26,8 @@ from .common import Scratch, batch, frugal, numbered
 #: Counters a summary may hold, and the share of all rows from which a digest counts as heavy.
 COUNTERS = 1024
 HEAVY_SHARE = 1 / 256
+#: Logarithm of the bits that keys of groups are hashed to (8 MB).
+BITS = 26
 #: Column that tells rows apart while copies are dropped.
 ROW = "_row"
 
@@ -107,17 +109,33 @@ def exact_duplicates(
     )
 
 
+def may_hold(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """``rows`` with a column ``maybe``, true wherever their key is in ``groups`` and seldom elsewhere: keys are hashed
+    to bits, at most 2 ** BITS of them, and only the words of 64 bits that hold any are broadcast. Too many keys
+    fill the words, and more rows are asked, but none is missed."""
+    bits = 1 << min(BITS, max(12, (16 * groups.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    one = lambda at: F.expr(f"shiftleft(1L, cast({at} % 64 AS int))")
+    words = groups.select(place(key).alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(one("_at")).alias("_bits"))
+    placed = rows.withColumn("_at", place(key)).withColumn("_word", F.shiftright("_at", 6))
+    met = placed.join(F.broadcast(words), "_word", "left")  # at most 2 ** (BITS - 6) rows
+    return met.withColumn("maybe", F.coalesce(F.col("_bits").bitwiseAND(one("_at")) != 0, F.lit(False))).drop("_at", "_word", "_bits")
+
+
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` for each text, with all its columns: the largest id, of rows that share it any
     one, and a row with a null id only where no other holds the text. Only digests are written; the rows are
-    read again and meet the groups that have several."""
+    read again, and of those only the ones that may be in a group of several are shuffled to meet it."""
     scratch = Scratch(spark, "exact-rows")
     names = docs.columns
     plain = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = exact_duplicates(spark, plain).filter("group_size > 1")
     top = F.count_if(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     groups = scratch.write(found.groupBy("text_sha256").agg(F.first("keep_id").alias("keep_id"), top.alias("tied")))
-    marked = plain.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).join(groups, "text_sha256", "left")
-    kept = marked.filter(F.col("tied").isNull() | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("tied") == 1))).select("row")
-    one = marked.filter((F.col("tied") > 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("text_sha256").agg(F.first("row").alias("row"))
-    return kept.unionByName(one.select("row")).select("row.*")
+    hashed = plain.select("row", "doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    asked = may_hold(hashed, groups, "text_sha256")
+    marked = asked.filter("maybe").join(groups, "text_sha256", "left")
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    kept = marked.filter(F.col("tied").isNull() | (first & (F.col("tied") == 1))).select("row")
+    one = marked.filter((F.col("tied") > 1) & first).groupBy("text_sha256").agg(F.first("row").alias("row"))
+    return asked.filter("NOT maybe").select("row").unionByName(kept).unionByName(one.select("row")).select("row.*")

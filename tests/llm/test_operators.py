@@ -64,6 +64,17 @@ def test_exact(spark, texts):
     assert exact.drop_exact_duplicates(spark, documents(spark, texts)).count() == len(groups)
 
 
+def test_filter_of_groups_misses_none(spark, monkeypatch):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
+    groups = keys.filter("length(key) = 3")
+    for bits in (exact.BITS, 6):  # enough, and hopelessly few
+        monkeypatch.setattr(exact, "BITS", bits)
+        asked = exact.may_hold(keys, groups, "key")
+        assert asked.columns == ["key", "maybe"] and asked.count() == 3000
+        found = {r.key for r in asked.filter("maybe").collect()}
+        assert found >= {f"k{i}" for i in range(10, 100)} and (len(found) < 500 or bits == 6)
+
+
 def test_misra_gries_keeps_heavy_items():
     r, held = random.Random(2), {}
     items = ["hot"] * 400 + [str(r.randrange(300)) for _ in range(800)]
