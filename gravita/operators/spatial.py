@@ -110,7 +110,7 @@ def nearest_k(asked: DataFrame, held: DataFrame, k: int, key: str, other: str, s
     the number of points. Points at one place are asked once; points without coordinates take no part."""
     flat = lambda df, name: only_row(df.select(F.col(name), "lon", "lat").dropna(subset=["lon", "lat"]), scale).withColumn("x", F.col("lon") * F.col("scale") * geo.KM_PER_DEGREE).withColumn("y", F.col("lat") * geo.KM_PER_DEGREE)
     there = kept(_few_at_one_place(flat(held, other), other, k))
-    here = kept(flat(asked, key))
+    here = flat(asked, key)
     places = here.groupBy("lon", "lat").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.first("scale").alias("scale"))
     box = there.agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{n}{c}") for c in ("x", "y") for n, f in (("least_", F.min), ("most_", F.max)))).first()
     if not box.n:
@@ -132,7 +132,7 @@ def nearest_k(asked: DataFrame, held: DataFrame, k: int, key: str, other: str, s
     places = kept(places.withColumn("x0", F.when(F.col("level") == HALVINGS, 0).otherwise(shifted("cx"))).withColumn("y0", F.when(F.col("level") == HALVINGS, 0).otherwise(shifted("cy"))))
     used = [r[0] for r in places.select("level").distinct().collect()]  # HALVINGS + 1 at most
     cells = there.select(other, F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), "cx", "cy", F.explode(F.array(*map(F.lit, used or [0]))).alias("level"))
-    cells = kept(cells.withColumn("x0", shifted("cx")).withColumn("y0", shifted("cy")).drop("cx", "cy"))
+    cells = cells.withColumn("x0", shifted("cx")).withColumn("y0", shifted("cy")).drop("cx", "cy")
     d2 = geo.planar2(F.col("lon2"), F.col("lat2"), F.col("lon"), F.col("lat"), F.col("scale"))
     order = Window.partitionBy("lon", "lat").orderBy("d2", other)
     first = lambda df: df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -159,10 +159,11 @@ def candidate_edges(origins: DataFrame, destinations: DataFrame, k: int, decay_k
 
     origins: o, lon, lat; destinations: d, lon, lat."""
     origins, destinations = kept(origins.select("o", "lon", "lat")), kept(destinations.select("d", "lon", "lat"))
-    scale = longitude_scale(origins)
+    scale = kept(longitude_scale(origins))
     near = kept(nearest_k(destinations, origins, k, "d", "o", scale).select("o", "d"))
-    rescued = nearest_k(origins.join(near, "o", "left_anti"), destinations, 1, "o", "d", scale).select("o", "d")
+    lost = kept(origins.join(near, "o", "left_anti"))
+    found = near if lost.isEmpty() else near.unionByName(nearest_k(lost, destinations, 1, "o", "d", scale).select("o", "d"))
     o = origins.select("o", F.col("lon").alias("olon"), F.col("lat").alias("olat"))
     d = destinations.select("d", F.col("lon").alias("dlon"), F.col("lat").alias("dlat"))
     km = geo.haversine_km(F.col("olon"), F.col("olat"), F.col("dlon"), F.col("dlat"))
-    return near.unionByName(rescued).join(o, "o").join(d, "d").select("o", "d", geo.gravity(km, decay_km).alias("w"))
+    return found.join(o, "o").join(d, "d").select("o", "d", geo.gravity(km, decay_km).alias("w"))
