@@ -39,7 +39,8 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     srid = F.nullif(F.regexp_extract(F.coalesce(system, F.lit("")), "EPSG:+([0-9]+)", 1), F.lit("")).cast("int")
     one = FEATURES[FEATURES.index("struct<") : -1]
     rows = found.select("file", F.col("place").alias("ord"), F.from_json("text", one).alias("f"))
-    return rows.join(outside.select("file", srid.alias("srid")), "file").select(
+    # One short row a file goes to the features, which stay where they were read.
+    return rows.join(F.broadcast(outside.select("file", srid.alias("srid"))), "file").select(
         "ord", F.coalesce("f.properties", F.create_map().cast("map<string,string>")).alias("properties"), "f.geometry.type", "f.geometry.coordinates", "srid"
     )
 
