@@ -249,8 +249,9 @@ def ward_clusters(radios: DataFrame, zones: DataFrame, counts: DataFrame) -> Dat
         labels = ward(pdf[["x", "y"]].to_numpy(), int(pdf.clusters.iloc[0]))
         return pd.DataFrame({"radio": pdf.radio, "zone": pdf.zone, "label": labels})
 
-    # A zone's rows are few bytes but much work: partitions aren't joined by their sizes.
-    tasks = max(int(radios.sparkSession.conf.get("spark.sql.shuffle.partitions")), LEAST_TASKS)
+    # A zone's rows are few bytes but much work: partitions aren't joined by their sizes. With the number of tasks that the
+    # join has, its own partitions would do, and those are.
+    tasks = max(2 * int(radios.sparkSession.conf.get("spark.sql.shuffle.partitions")), LEAST_TASKS)
     return placed.repartition(tasks, "zone").groupBy("zone").applyInPandas(label, "radio long, zone long, label long")
 
 
