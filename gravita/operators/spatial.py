@@ -33,14 +33,16 @@ def _placed(points: DataFrame, scale: DataFrame, key: str, lon: str, lat: str) -
 
 def _first_cell(there: DataFrame, extent: float) -> float:
     """The widest cell, of the map's width halved again and again, in which points have few neighbours. Only
-    counts of cells are looked at."""
+    counts of cells are looked at, and not at every width: wider cells never hold fewer, so halving the choice finds it."""
     cell = extent / 2.0**HALVINGS
-    counts = there.groupBy(F.floor(F.col("rx") / cell).alias("cx"), F.floor(F.col("ry") / cell).alias("cy")).agg(F.count(F.lit(1)).alias("n"))
-    level = F.explode(F.sequence(F.lit(0), F.lit(HALVINGS)))
-    wide = counts.withColumn("level", level).groupBy("level", F.expr("shiftright(cx, level)").alias("x"), F.expr("shiftright(cy, level)").alias("y")).agg(F.sum("n").alias("n"))
-    shared = wide.groupBy("level").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("shared"))
-    best = shared.filter(F.col("shared") <= SHARED).agg(F.max("level")).first()[0]
-    return cell * 2.0 ** (best or 0)
+    wide = lambda c, level: F.shiftright(F.floor(F.col(c) / cell), level)
+    few, many = 0, HALVINGS + 1
+    while many - few > 1:
+        level = (few + many) // 2
+        counts = there.groupBy(wide("rx", level).alias("x"), wide("ry", level).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+        shared = counts.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0]
+        few, many = (level, many) if shared <= SHARED else (few, level)
+    return cell * 2.0**few
 
 
 def nearest_join(
